@@ -18,80 +18,114 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillwise.session import written
+
 LARGE_BASKET = 256
 
 
-def basket_lines(df: DataFrame, basket: list[str], item: str, weighted: bool) -> DataFrame:
-    """``(basket, item, weight)``; the weight counts repeated lines or is 1."""
-    named = df.select(F.struct(*basket).alias("basket"), F.col(item).alias("item"),
-                      *basket).dropna().select("basket", "item")
-    if weighted:
-        return named.groupBy("basket", "item").agg(F.count("*").alias("weight"))
-    return named.distinct().withColumn("weight", F.lit(1).cast("bigint"))
+def basket_lines(df: DataFrame, basket: list[str], item: str) -> DataFrame:
+    """``(basket, item)`` rows with both known."""
+    return (df.select(F.struct(*basket).alias("basket"), F.col(item).alias("item"), *basket)
+            .dropna().select("basket", "item"))
 
 
-def _pairs_of_ordinary(lines: DataFrame) -> DataFrame:
-    """Pair counts by nested explodes over one sorted array per (bounded) basket."""
-    entry = F.struct("item", "weight")
-    baskets = (lines.groupBy("basket").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-               .where(F.size("entries") > 1))
-    firsts = baskets.select("entries", F.posexplode("entries").alias("at", "a"))
-    pairs = firsts.select(
-        "a", F.explode(F.slice("entries", F.col("at") + 2, F.size("entries"))).alias("b"))
-    return (pairs.groupBy(F.col("a.item").alias("item_1"), F.col("b.item").alias("item_2"))
-            .agg(F.sum(F.col("a.weight") * F.col("b.weight")).alias("times")))
+def top_pairs(lines: DataFrame, k: int, weighted: bool = False, at_least: int = 1,
+              large: int = LARGE_BASKET) -> DataFrame:
+    """The ``k`` pairs with the highest count (then by item), ``item_1 < item_2``.
+
+    The count is the number of baskets, or of line pairs when ``weighted``.
+    """
+    # lines are at least as many as items, so this may only suspect too many
+    suspects = lines.groupBy("basket").agg(F.count("*").alias("n")).where(F.col("n") > large)
+    if suspects.isEmpty():
+        counted = _count_pairs(lines, weighted)
+    else:
+        counted = _with_large_baskets(_weigh(lines, weighted), k, at_least, large)
+    return (counted.where(F.col("times") >= at_least)
+            .orderBy(F.desc("times"), "item_1", "item_2").limit(k))
 
 
-def _pairs_by_join(lines: DataFrame) -> DataFrame:
-    other = lines.select("basket", F.col("item").alias("item_2"), F.col("weight").alias("weight_2"))
-    return (lines.join(other, "basket").where(F.col("item") < F.col("item_2"))
-            .groupBy(F.col("item").alias("item_1"), "item_2")
-            .agg(F.sum(F.col("weight") * F.col("weight_2")).alias("large_times")))
+def _count_pairs(lines: DataFrame, weighted: bool) -> DataFrame:
+    """All pairs of ordinary baskets: one shuffle by basket, one by pair.
+
+    Each basket becomes one sorted array (of at most ``large`` lines), and two
+    explodes in a row emit its pairs without building the list of them.
+    """
+    collect = F.collect_list if weighted else F.collect_set
+    items = lines.groupBy("basket").agg(F.sort_array(collect("item")).alias("items"))
+    firsts = items.where(F.size("items") > 1).select(
+        "items", F.posexplode("items").alias("at", "item_1"))
+    later = F.slice("items", F.col("at") + 2, F.size("items"))
+    pairs = firsts.select("item_1", F.explode(later).alias("item_2"))
+    return (pairs.where(F.col("item_1") < F.col("item_2"))
+            .groupBy("item_1", "item_2").agg(F.count("*").alias("times")))
+
+
+def _weigh(lines: DataFrame, weighted: bool) -> DataFrame:
+    """One row per basket and item; the weight is its number of lines, or 1."""
+    weight = F.count("*") if weighted else F.lit(1).cast("bigint")
+    return lines.groupBy("basket", "item").agg(weight.alias("weight"))
+
+
+def _count_weighted(lines: DataFrame) -> DataFrame:
+    """``_count_pairs`` over weighed lines."""
+    items = lines.groupBy("basket").agg(
+        F.sort_array(F.collect_list(F.struct("item", "weight"))).alias("items"))
+    firsts = items.where(F.size("items") > 1).select(
+        "items", F.posexplode("items").alias("at", "a"))
+    later = F.slice("items", F.col("at") + 2, F.size("items"))
+    pairs = firsts.select("a", F.explode(later).alias("b"))
+    return (pairs.groupBy(F.col("a.item").alias("item_1"), F.col("b.item").alias("item_2"))
+            .agg(F.sum(F.col("a.weight") * F.col("b.weight")).alias("times")))
 
 
-def top_pairs(lines: DataFrame, k: int, at_least: int = 1,
-              large: int = LARGE_BASKET) -> DataFrame:
-    """The ``k`` pairs with the highest count (then by item), ``item_1 < item_2``."""
+def _with_large_baskets(lines: DataFrame, k: int, at_least: int, large: int) -> DataFrame:
+    """Counts of every pair that can be among the first ``k``."""
+    lines = written(lines, "basket-lines")
     sizes = lines.groupBy("basket").agg(
         F.count("*").alias("n"), F.max("weight").alias("heaviest"))
     large_baskets = sizes.where(F.col("n") > large).select("basket", "heaviest")
+    in_large = written(lines.join(large_baskets, "basket"), "large-baskets")
     ordinary = lines.join(large_baskets.select("basket"), "basket", "left_anti")
-    in_large = lines.join(large_baskets, "basket")
+    counted = written(_count_weighted(ordinary), "pair-counts")
 
-    counted = _pairs_of_ordinary(ordinary)
     best = counted.orderBy(F.desc("times")).limit(k).agg(
-        F.when(F.count("*") == k, F.min("times")).alias("kth"))
-    floor = F.greatest(best.scalar(), F.lit(at_least).cast("bigint"))
+        F.when(F.count("*") == k, F.min("times")).alias("kth")).first()["kth"]
+    floor = max(best or 0, at_least)
 
-    # most that an item can add to any of its pairs through large baskets
+    # the most an item can add to any of its pairs through large baskets
     reach = in_large.groupBy("item").agg(
         F.sum(F.col("weight") * F.col("heaviest")).alias("reach"))
-    reach_1 = reach.select(F.col("item").alias("item_1"), F.col("reach").alias("reach_1"))
-    reach_2 = reach.select(F.col("item").alias("item_2"), F.col("reach").alias("reach_2"))
     gain = F.least(F.coalesce("reach_1", F.lit(0)), F.coalesce("reach_2", F.lit(0)))
-    hopeful = (counted.join(reach_1, "item_1", "left").join(reach_2, "item_2", "left")
+    hopeful = (counted.join(reach.toDF("item_1", "reach_1"), "item_1", "left")
+               .join(reach.toDF("item_2", "reach_2"), "item_2", "left")
                .withColumn("gain", gain)
                .where(F.col("times") + F.col("gain") >= floor))
-    line_1 = in_large.select("basket", F.col("item").alias("item_1"), F.col("weight").alias("w1"))
-    line_2 = in_large.select("basket", F.col("item").alias("item_2"), F.col("weight").alias("w2"))
+    first, second = (in_large.select("basket", F.col("item").alias(f"item_{i}"),
+                                     F.col("weight").alias(f"weight_{i}")) for i in (1, 2))
+    product = F.sum(F.col("weight_1") * F.col("weight_2")).alias("large_times")
     added = (hopeful.where("gain > 0").select("item_1", "item_2")
-             .join(line_1, "item_1").join(line_2, ["basket", "item_2"])
-             .groupBy("item_1", "item_2").agg(F.sum(F.col("w1") * F.col("w2")).alias("large_times")))
+             .join(first, "item_1").join(second, ["basket", "item_2"])
+             .groupBy("item_1", "item_2").agg(product))
     seen = (hopeful.join(added, ["item_1", "item_2"], "left")
             .select("item_1", "item_2",
                     (F.col("times") + F.coalesce("large_times", F.lit(0))).alias("times")))
 
-    # two 64-bit fingerprints of the item's (large basket, weight) set
-    eligible = in_large.join(reach.where(F.col("reach") >= floor).select("item"), "item", "left_semi")
+    # two 64-bit fingerprints of the item's set of (large basket, weight)
+    eligible = in_large.join(
+        reach.where(F.col("reach") >= floor).select("item"), "item", "left_semi")
     classes = eligible.groupBy("item").agg(
         F.bit_xor(F.xxhash64(F.lit(1), "basket", "weight")).alias("print_1"),
         F.bit_xor(F.xxhash64(F.lit(2), "basket", "weight")).alias("print_2"))
     in_class = F.row_number().over(W.partitionBy("print_1", "print_2").orderBy("item"))
     leaders = classes.withColumn("nth", in_class).where(F.col("nth") <= k + 1).select("item")
-    only_large = (_pairs_by_join(eligible.join(leaders, "item", "left_semi"))
-                  .where(F.col("large_times") >= floor)
+    led = in_large.join(leaders, "item", "left_semi")
+    pairs = (led.select("basket", F.col("item").alias("item_1"), F.col("weight").alias("weight_1"))
+             .join(led.select("basket", F.col("item").alias("item_2"),
+                              F.col("weight").alias("weight_2")), "basket")
+             .where(F.col("item_1") < F.col("item_2"))
+             .groupBy("item_1", "item_2").agg(product))
+    only_large = (pairs.where(F.col("large_times") >= floor)
                   .join(counted, ["item_1", "item_2"], "left_anti")
                   .select("item_1", "item_2", F.col("large_times").alias("times")))
-
-    return (seen.unionByName(only_large).where(F.col("times") >= at_least)
-            .orderBy(F.desc("times"), "item_1", "item_2").limit(k))
+    return seen.unionByName(only_large)

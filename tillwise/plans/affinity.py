@@ -14,7 +14,8 @@ VISIT = ["Customer_ID", "order_date"]
 def product_pairs(t: RetailTables, k: int = 20, large: int = LARGE_BASKET) -> DataFrame:
     """Pairs bought together on more than one visit, with both categories."""
     listed = t.transactions.join(t.products.select("Product_ID"), "Product_ID", "left_semi")
-    pairs = top_pairs(basket_lines(listed, VISIT, "Product_ID", weighted=False), k, 2, large)
+    pairs = top_pairs(basket_lines(listed, VISIT, "Product_ID"), k,
+                      at_least=2, large=large)
     category = t.products.select("Product_ID", "Product_Category")
     first = category.toDF("product_1", "category_1")
     second = category.toDF("product_2", "category_2")
@@ -29,8 +30,8 @@ def product_pairs(t: RetailTables, k: int = 20, large: int = LARGE_BASKET) -> Da
 
 def category_pairs(t: RetailTables, k: int = 15, large: int = LARGE_BASKET) -> DataFrame:
     """Category pairs by visits, with a score relative to the most frequent pair."""
-    lines = basket_lines(t.sold(), VISIT, "Product_Category", weighted=False)
-    top = top_pairs(lines, k, 1, large).select(
+    lines = basket_lines(t.sold(), VISIT, "Product_Category")
+    top = top_pairs(lines, k, large=large).select(
         F.col("item_1").alias("category_1"), F.col("item_2").alias("category_2"),
         F.col("times").alias("times_bought_together"))
     order = [F.desc("times_bought_together"), F.col("category_1"), F.col("category_2")]

@@ -137,8 +137,8 @@ def store_supplier_growth(w: Warehouse) -> DataFrame:
 
 def order_pairs(t: RetailTables, k: int = 5, large: int = LARGE_BASKET) -> DataFrame:
     """Product pairs by the number of line pairs that share an order."""
-    lines = basket_lines(t.transactions, ["orderID"], "Product_ID", weighted=True)
-    return top_pairs(lines, k, 1, large).select(
+    lines = basket_lines(t.transactions, ["orderID"], "Product_ID")
+    return top_pairs(lines, k, weighted=True, large=large).select(
         F.col("item_1").alias("product_1"), F.col("item_2").alias("product_2"),
         F.col("times").alias("product_bought_together"))
 

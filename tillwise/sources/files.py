@@ -82,12 +82,31 @@ def read_jdbc(spark: SparkSession, url: str, properties: dict | None = None,
                         table("transactional_data", **split))
 
 
-def write_staging(t: RetailTables, folder: str) -> None:
-    """Replace the staged Parquet copies; transactions are stored by order year."""
+def write_staging(t: RetailTables, folder: str) -> RetailTables:
+    """Replace the staged Parquet copies and return tables that read them.
+
+    Transactions are stored by order year, and the rebalance hint lets adaptive
+    execution split or merge the years into files of the advisory partition size.
+    Written masters have a known size, by which Spark decides to broadcast them.
+    """
+    dated = t.transactions.withColumn(STORED_YEAR, F.year("order_date"))
     t.customers.write.mode("overwrite").parquet(f"{folder}/customers")
     t.products.write.mode("overwrite").parquet(f"{folder}/products")
-    (t.transactions.withColumn(STORED_YEAR, F.year("order_date"))
+    (dated.hint("rebalance", STORED_YEAR)
      .write.mode("overwrite").partitionBy(STORED_YEAR).parquet(f"{folder}/transactions"))
+    spark = t.transactions.sparkSession
+    return RetailTables(
+        customers=spark.read.schema(t.customers.schema).parquet(f"{folder}/customers"),
+        products=spark.read.schema(t.products.schema).parquet(f"{folder}/products"),
+        transactions=spark.read.schema(dated.schema).parquet(f"{folder}/transactions"))
+
+
+def parquet_stream(folder: str, like: DataFrame, files_per_batch: int | None = None) -> DataFrame:
+    """New Parquet files of a folder as a stream with the columns of ``like``."""
+    reader = like.sparkSession.readStream.schema(like.schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def write_bucketed(t: RetailTables, buckets: int, prefix: str = "") -> RetailTables:
