@@ -25,8 +25,8 @@ LARGE_BASKET = 256
 
 def basket_lines(df: DataFrame, basket: list[str], item: str) -> DataFrame:
     """``(basket, item)`` rows with both known."""
-    return (df.select(F.struct(*basket).alias("basket"), F.col(item).alias("item"), *basket)
-            .dropna().select("basket", "item"))
+    return (df.dropna(subset=[*basket, item])
+            .select(F.struct(*basket).alias("basket"), F.col(item).alias("item")))
 
 
 def top_pairs(lines: DataFrame, k: int, weighted: bool = False, at_least: int = 1,
