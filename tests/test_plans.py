@@ -21,13 +21,12 @@ def test_no_report_joins_without_a_key(spark, name):
 
 
 @pytest.mark.parametrize("name", [
-    "q01_month_daytype_top5", "q05_top5_occ_per_category", "q11_month_daytype_top5",
-    "q13_top3_suppliers", "q14_best_season", "q20_best_quarter"])
+    "q01_month_daytype_top5", "q05_top5_occ_per_category", "q13_top3_suppliers", "q14_best_season", "q20_best_quarter"])
 def test_ranking_is_limited_before_the_shuffle(spark, name):
     assert plan(spark, name).count("WindowGroupLimit") == 2  # Partial and Final
 
 
-@pytest.mark.parametrize("name", ["q03_top10_occ_category", "q19_spikes", "x01_top_customers"])
+@pytest.mark.parametrize("name", ["q03_top10_occ_category", "q19_spike_frequency", "x01_top_customers"])
 def test_top_lists_do_not_sort_everything(spark, name):
     assert "TakeOrderedAndProject" in plan(spark, name)
 

@@ -103,3 +103,16 @@ def test_order_lookup(spark):
         [(None, *line[:4], dt.date.fromisoformat(line[4])) for line in LINES], schemas.TRANSACTIONS)
     found = enriched.order_lookup(enriched.enrich(lines, customers, products), 9914432).collect()
     assert [(r.order_id, r.total_amount) for r in found] == [(9914432, D("77.51"))]
+
+
+def test_empty_sink_is_created_once_and_rows_are_counted(spark, tmp_path):
+    enrichment.create_sink(spark, str(tmp_path / "out"))
+    assert enrichment.read_enriched(spark, str(tmp_path / "out")).count() == 0
+    write_lines(tmp_path / "in", "a.csv", LINES)
+    customers, products = masters(spark)
+    stream = files.csv_stream(spark, str(tmp_path / "in"))
+    query = enrichment.run_to_end(stream, customers, products, str(tmp_path / "out"),
+                                  str(tmp_path / "checkpoint"))
+    enrichment.create_sink(spark, str(tmp_path / "out"))
+    assert enrichment.received(query) == 5
+    assert enrichment.read_enriched(spark, str(tmp_path / "out")).count() == 5

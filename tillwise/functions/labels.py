@@ -22,7 +22,7 @@ STORE_RATING = (
     "Critical", "Insufficient Data")
 VOLATILITY = ([(50, "EXTREME"), (25, "HIGH"), (10, "Moderate")], "Stable", "Baseline")
 RISK_LEVEL = ([(30, "HIGH"), (15, "Medium")], "Low", "Low")
-EXTREME_SPIKE, HIGH_SPIKE, NO_SPIKE = "EXTREME SPIKE (3x+)", "HIGH SPIKE (2x-3x)", "Normal"
+EXTREME_SPIKE, HIGH_SPIKE = "EXTREME SPIKE (3x+)", "HIGH SPIKE (2x-3x)"
 
 
 def listed_order(value: Column, listing: Sequence[str]) -> Column:

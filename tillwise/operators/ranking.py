@@ -1,9 +1,13 @@
 """Top-k reports with a total order, so ties do not depend on the partitioning."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillwise.session import written
+
 
 def ranked(df: DataFrame, within: list[str], order: list[Column], name: str) -> DataFrame:
     number = F.row_number().over(W.partitionBy(*within).orderBy(*order))
@@ -21,6 +25,24 @@ def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def with_order_counts(top: DataFrame, sales: DataFrame, keys: list[str],
+                      name: str) -> DataFrame:
+    """Count the distinct orders of the winners only.
+
+    ``top`` holds at most k rows for each of a fixed number of groups. It is written
+    first, so the ranking runs once and Spark sees how small it is; the second look
+    at ``sales`` then shuffles the orders of those few rows, where counting for every
+    group would have shuffled all orders.
+    """
+    top = written(top, "winners")
+    winners = top.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    counts = (sales.join(winners, same, "left_semi").groupBy(*keys)
+              .agg(F.count_distinct("orderID").alias(name))
+              .withColumnsRenamed({k: f"_{k}" for k in keys}))
+    return top.join(counts, same).drop(*[f"_{k}" for k in keys])
+
+
 def numbered(top: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Add 1, 2, 3 … to the few rows that a ``top_k`` has left."""
     return top.withColumn(name, F.row_number().over(W.orderBy(*order)))

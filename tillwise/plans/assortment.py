@@ -6,24 +6,27 @@ from pyspark.sql import functions as F
 
 from tillwise.functions import calendar as cal
 from tillwise.functions.labels import larger_of, listed_order
-from tillwise.functions.money import percent, share_or_zero
+from tillwise.functions.money import from_cents, percent, share_or_zero
 from tillwise.operators import metrics as m
 from tillwise.operators.crosstab import with_total_row
-from tillwise.operators.ranking import ranked, top_k, top_k_per_group
+from tillwise.operators.ranking import (ranked, top_k, top_k_per_group,
+                                        with_order_counts)
 from tillwise.tables import RetailTables
 
 PRODUCT = ["Product_ID", "Product_Category"]
 
 
 def years(t: RetailTables) -> DataFrame:
-    return t.transactions.select(F.year("order_date").alias("year")).distinct().orderBy("year")
+    stored = cal.stored_by_year(t.transactions)
+    year = F.col(cal.STORED_YEAR) if stored else F.year("order_date")
+    return t.transactions.select(year.alias("year")).distinct().orderBy("year")
 
 
 def _dated(t: RetailTables, year: int | None) -> DataFrame:
     day = F.col("order_date")
     return t.sold(cal.year_condition(t.transactions, year)).withColumns({
         "year": F.year(day), "month": F.month(day),
-        "month_year": cal.month_label(day), "day_type": cal.day_type(day)})
+        "month_start": cal.month_start(day), "day_type": cal.day_type(day)})
 
 
 def _best_first(measure: str, *tie_breakers: str):
@@ -45,19 +48,21 @@ def top_by_day_type(t: RetailTables, year: int | None = None, k: int = 5) -> Dat
 
 
 def month_day_type_detail(t: RetailTables, year: int | None = None, k: int = 5) -> DataFrame:
-    sales = _dated(t, year).groupBy("month", "month_year", "day_type", *PRODUCT).agg(
-        m.revenue("total_revenue"), m.units(), m.orders("order_count"))
-    return (top_k_per_group(sales, ["month", "day_type"],
-                            _best_first("total_revenue", *PRODUCT), k, "revenue_rank")
-            .orderBy("month", F.desc("day_type"), "revenue_rank")
-            .select("month_year", "day_type", "revenue_rank", *PRODUCT, "total_revenue",
+    sales, keys = _dated(t, year), ["month_start", "day_type", *PRODUCT]
+    totals = sales.groupBy(*keys).agg(m.revenue("total_revenue"), m.units())
+    top = top_k_per_group(totals, ["month_start", "day_type"],
+                          _best_first("total_revenue", *PRODUCT), k, "revenue_rank")
+    return (with_order_counts(top, sales, keys, "order_count")
+            .orderBy("month_start", F.desc("day_type"), "revenue_rank")
+            .select(cal.month_label(F.col("month_start")).alias("month_year"), "day_type", "revenue_rank", *PRODUCT, "total_revenue",
                     "total_quantity", "order_count"))
 
 
 def day_type_leaders(t: RetailTables, year: int | None = None, k: int = 10) -> DataFrame:
-    sales = _dated(t, year).groupBy("day_type", *PRODUCT).agg(
-        m.revenue("total_revenue"), m.orders())
-    return (top_k_per_group(sales, ["day_type"], _best_first("total_revenue", *PRODUCT), k, "rn")
+    sales, keys = _dated(t, year), ["day_type", *PRODUCT]
+    totals = sales.groupBy(*keys).agg(m.revenue("total_revenue"))
+    top = top_k_per_group(totals, ["day_type"], _best_first("total_revenue", *PRODUCT), k, "rn")
+    return (with_order_counts(top, sales, keys, "total_orders")
             .orderBy(F.desc("day_type"), "rn").drop("rn"))
 
 
@@ -135,8 +140,9 @@ def season_order():
 
 
 def product_seasons(t: RetailTables) -> DataFrame:
-    return (_seasonal(t).groupBy(*PRODUCT, "season")
-            .agg(m.revenue("total_sales"), m.units(), m.orders())
+    season = cal.season(F.month("order_date")).alias("season")
+    return (t.sold_by_product(season, orders=True).groupBy(*PRODUCT, "season")
+            .agg(m.revenue("total_sales"), m.units(), m.counted_orders())
             .orderBy("Product_Category", "Product_ID", season_order()))
 
 
@@ -167,22 +173,48 @@ def _halves(t: RetailTables, year: int | None):
     return sales, early, ~early
 
 
+def _product_halves(t: RetailTables, year: int | None) -> DataFrame:
+    """Units, orders and cents of both halves per product and category.
+
+    Lines are first added up per product and order. That order then counts once for
+    each half it touches, so three distinct counts become sums of flags.
+    """
+    late = F.month("order_date") > 6
+    quantity = F.col("quantity").cast("bigint")
+    in_half = {1: ~late, 2: late}
+    per_order = [c for h, where in in_half.items() for c in (
+        F.sum(F.when(where, quantity).otherwise(F.lit(0))).alias(f"units_{h}"),
+        F.count_if(where).alias(f"lines_{h}"))]
+    touched = {h: F.col("orderID").isNotNull() & (F.col(f"lines_{h}") > 0) for h in in_half}
+    per_product = [c for h in in_half for c in (
+        F.sum(f"units_{h}").alias(f"units_{h}"), F.sum(f"lines_{h}").alias(f"lines_{h}"),
+        F.count_if(touched[h]).alias(f"orders_{h}"))]
+    products = (t.lines(cal.year_condition(t.transactions, year))
+                .groupBy("Product_ID", "orderID").agg(F.sum(quantity).alias("units"), *per_order)
+                .groupBy("Product_ID").agg(F.sum("units").alias("units"),
+                                           F.count("orderID").alias("orders"), *per_product)
+                .join(t.priced_products(), "Product_ID"))
+    # without a price a half is worth zero if the other half has lines, else unknown
+    cents = {h: F.coalesce(F.col(f"units_{h}") * F.col("price_cents"),
+                           F.when(F.col(f"lines_{3 - h}") > 0, F.lit(0))) for h in in_half}
+    return products.groupBy(*PRODUCT).agg(
+        F.sum("units_1").alias("h1_quantity"), from_cents(F.sum(cents[1])).alias("h1_revenue"),
+        F.max("orders_1").alias("h1_orders"),
+        F.sum("units_2").alias("h2_quantity"), from_cents(F.sum(cents[2])).alias("h2_revenue"),
+        F.max("orders_2").alias("h2_orders"),
+        F.sum("units").alias("yearly_quantity"),
+        from_cents(F.sum(F.col("units") * F.col("price_cents"))).alias("yearly_revenue"),
+        F.max("orders").alias("yearly_orders"))
+
+
 def product_halves(t: RetailTables, year: int | None = None) -> DataFrame:
-    sales, early, late = _halves(t, year)
     one, two = F.col("h1_revenue"), F.col("h2_revenue")
     factor = F.lit(HALF_TREND_FACTOR).cast("decimal(3,1)")
     trend = (F.when((one == 0) & (two == 0), "No Sales")
              .when(one == 0, "H2 Only").when(two == 0, "H1 Only")
              .when(two > one * factor, "H2 Strong").when(one > two * factor, "H2 Weak")
              .otherwise("Stable"))
-    return (sales.groupBy(*PRODUCT)
-            .agg(m.units("h1_quantity", early), m.revenue("h1_revenue", early),
-                 m.orders("h1_orders", early),
-                 m.units("h2_quantity", late), m.revenue("h2_revenue", late),
-                 m.orders("h2_orders", late),
-                 m.units("yearly_quantity"), m.revenue("yearly_revenue"),
-                 m.orders("yearly_orders"))
-            .withColumn("trend", trend)
+    return (_product_halves(t, year).withColumn("trend", trend)
             .orderBy(*_best_first("yearly_revenue", "Product_ID")))
 
 
@@ -208,12 +240,14 @@ def category_halves(t: RetailTables, year: int | None = None) -> DataFrame:
 
 
 def half_gap(t: RetailTables, year: int | None = None, k: int = 20) -> DataFrame:
-    sales, early, late = _halves(t, year)
     one, two = F.col("h1_revenue"), F.col("h2_revenue")
     factor = F.lit(HALF_GAP_FACTOR).cast("decimal(3,1)")
     uneven = (one > 0) & (two > 0) & ((one > two * factor) | (two > one * factor))
-    halves = (sales.groupBy(*PRODUCT)
-              .agg(m.revenue("h1_revenue", early), m.revenue("h2_revenue", late))
+    early = cal.first_half(F.col("order_date"))
+    in_half = t.sold_by_product(early.alias("early"),
+                                where=cal.year_condition(t.transactions, year))
+    halves = (in_half.groupBy(*PRODUCT)
+              .agg(m.revenue("h1_revenue", F.col("early")), m.revenue("h2_revenue", ~F.col("early")))
               .where(uneven)
               .withColumn("difference", F.abs(one - two).cast("decimal(20,2)")))
     return (top_k(halves, _best_first("difference", "Product_ID"), k)

@@ -83,8 +83,9 @@ def category_by_age(rows: DataFrame) -> DataFrame:
 
 
 def monthly_trend(rows: DataFrame) -> DataFrame:
-    return (rows.groupBy(cal.month_label(F.col("order_date")).alias("month"))
-            .agg(_revenue("revenue")).orderBy("month"))
+    months = rows.groupBy(cal.month_start(F.col("order_date")).alias("start")).agg(
+        _revenue("revenue"))
+    return months.select(cal.month_label(F.col("start")).alias("month"), "revenue").orderBy("month")
 
 
 def order_lookup(rows: DataFrame, order_id: int, k: int = 10) -> DataFrame:

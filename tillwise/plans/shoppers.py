@@ -80,12 +80,12 @@ def _recent(t: RetailTables, months: int) -> DataFrame:
 def city_marital_monthly(t: RetailTables, months: int = 6) -> DataFrame:
     # grouped by the flag: a NULL flag stays apart from 1 although both read "Married"
     return (_recent(t, months)
-            .withColumn("month_year", cal.month_label(F.col("order_date")))
-            .groupBy("City_Category", "Marital_Status", "marital_label", "month_year")
+            .groupBy("City_Category", "Marital_Status", "marital_label",
+                     cal.month_start(F.col("order_date")).alias("month_start"))
             .agg(m.orders(), m.buyers(), m.units(), m.revenue("total_purchase"))
             .select("City_Category", F.col("marital_label").alias("marital_status"),
-                    "month_year", "total_orders", "unique_customers", "total_quantity",
-                    "total_purchase")
+                    cal.month_label(F.col("month_start")).alias("month_year"), "total_orders",
+                    "unique_customers", "total_quantity", "total_purchase")
             .orderBy("City_Category", "marital_status", "month_year"))
 
 

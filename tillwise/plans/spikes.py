@@ -5,10 +5,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar as cal
-from tillwise.functions.labels import EXTREME_SPIKE, HIGH_SPIKE, NO_SPIKE, listed_order
+from tillwise.functions.labels import EXTREME_SPIKE, HIGH_SPIKE, listed_order
 from tillwise.functions.money import WHOLE, from_cents, mean_money_fine
 from tillwise.operators import metrics as m
-from tillwise.operators.ranking import top_k
+from tillwise.operators.ranking import top_k, with_order_counts
 from tillwise.tables import RetailTables
 
 # Days a product must have sold on, and the multiples that count as spikes.
@@ -17,14 +17,15 @@ MIN_DAYS, HIGH, EXTREME = 5, 2, 3
 PRODUCT = ["Product_ID", "Product_Category"]
 
 
-def _days(t: RetailTables, keys: list[str], *more) -> DataFrame:
+def _days(t: RetailTables, keys: list[str]) -> DataFrame:
     """Product days with the product's totals beside them.
 
-    The averages are a window over the daily rows, so the days are computed once;
-    a product has at most one row per calendar day there, however often it sells.
-    ``cents * days`` against ``total`` compares with the average without dividing.
+    Lines are added up per product and day before they meet the product. The
+    averages are a window over the daily rows, so the days are computed once; a
+    product has at most one row per calendar day there, however often it sells.
     """
-    days = t.sold().groupBy(*keys, "order_date").agg(F.sum("amount_cents").alias("cents"), *more)
+    days = t.sold_by_product("order_date").groupBy(*keys, "order_date").agg(
+        F.sum("amount_cents").alias("cents"), m.units("daily_quantity"))
     product = W.partitionBy("Product_ID")
     return (days.withColumns({"days": F.count("*").over(product),
                               "priced_days": F.count("cents").over(product),
@@ -33,40 +34,54 @@ def _days(t: RetailTables, keys: list[str], *more) -> DataFrame:
 
 
 def _exceeds(multiple: int):
-    scaled = F.col("cents").cast(WHOLE) * F.col("priced_days")
-    return scaled > F.col("total").cast(WHOLE) * F.lit(multiple)
+    """Above ``multiple`` times the average, by exact products instead of a quotient.
 
+    The comparison in floating point, with room for its error, comes first and
+    spares almost all rows the wide decimals.
+    """
+    days, total = F.col("priced_days"), F.col("total")
+    roughly = F.col("cents").cast("double") * days > total * F.lit(multiple * (1 - 1e-9))
+    exactly = F.col("cents").cast(WHOLE) * days > total.cast(WHOLE) * F.lit(multiple)
+    return roughly & exactly
 
-def spikes(t: RetailTables, k: int = 50) -> DataFrame:
-    product = W.partitionBy("Product_ID")
-    classes = (F.when(_exceeds(EXTREME), EXTREME_SPIKE)
-               .when(_exceeds(HIGH), HIGH_SPIKE).otherwise(NO_SPIKE))
+
+SPIKE_DAY = [*PRODUCT, "order_date"]
+
+
+def _order():
+    return [F.desc("multiple_of_avg"), "Product_ID", "order_date", "Product_Category"]
+
+
+def _top_spikes(t: RetailTables, k: int) -> DataFrame:
     multiple = F.round(F.try_divide(F.col("cents").cast(WHOLE) * F.col("priced_days"),
-                                    F.col("total").cast(WHOLE)), 2)
-    deviation = F.stddev_pop(F.col("cents") / F.lit(100.0)).over(product)
-    found = (_days(t, PRODUCT, m.units("daily_quantity"), m.orders("daily_orders"))
-             .withColumn("stddev_revenue", F.round(deviation, 4))
-             .withColumn("multiple_of_avg", multiple.cast("double"))
-             .withColumn("spike_classification", classes)
-             .where(F.col("spike_classification") != NO_SPIKE))
-    return (top_k(found, [F.desc("multiple_of_avg"), "Product_ID", "order_date",
-                          "Product_Category"], k)
-            .select(*PRODUCT, "order_date", cal.day_name(F.col("order_date")).alias("day_of_week"),
-                    from_cents(F.col("cents")).alias("daily_revenue"),
-                    "daily_quantity", "daily_orders",
+                                    F.col("total").cast(WHOLE)), 2).cast("double")
+    deviation = F.stddev_pop(F.col("cents") / F.lit(100.0)).over(W.partitionBy("Product_ID"))
+    found = (_days(t, PRODUCT).withColumn("deviation", deviation)
+             .where(_exceeds(HIGH)).withColumn("multiple_of_avg", multiple))
+    kind = F.when(_exceeds(EXTREME), EXTREME_SPIKE).otherwise(HIGH_SPIKE)
+    return (top_k(found, _order(), k)
+            .withColumn("spike_classification", kind)
+            .withColumn("daily_revenue", from_cents(F.col("cents"))))
+
+
+def spikes(t: RetailTables, k: int = 50) -> DataFrame:
+    return (with_order_counts(_top_spikes(t, k), t.sold(), SPIKE_DAY, "daily_orders")
+            .orderBy(*_order())
+            .select(*SPIKE_DAY, cal.day_name(F.col("order_date")).alias("day_of_week"),
+                    "daily_revenue", "daily_quantity", "daily_orders",
                     mean_money_fine(F.col("total"), F.col("priced_days")).alias("avg_daily_revenue"),
-                    "stddev_revenue", "multiple_of_avg", "spike_classification"))
+                    F.round("deviation", 4).alias("stddev_revenue"), "multiple_of_avg",
+                    "spike_classification"))
 
 
 def spike_class_counts(t: RetailTables, k: int = 50) -> DataFrame:
-    return (spikes(t, k).groupBy("spike_classification").agg(F.count("*").alias("spike_count"))
-            .orderBy("spike_classification"))
+    return (_top_spikes(t, k).groupBy("spike_classification")
+            .agg(F.count("*").alias("spike_count")).orderBy("spike_classification"))
 
 
 def first_extreme_spikes(t: RetailTables, k: int = 50, shown: int = 5) -> DataFrame:
-    extreme = spikes(t, k).where(F.col("spike_classification") == EXTREME_SPIKE)
-    return (top_k(extreme, [F.desc("multiple_of_avg"), "Product_ID", "order_date"], shown)
-            .select(*PRODUCT, "order_date", "daily_revenue", "multiple_of_avg"))
+    extreme = _top_spikes(t, k).where(F.col("spike_classification") == EXTREME_SPIKE)
+    return top_k(extreme, _order(), shown).select(*SPIKE_DAY, "daily_revenue", "multiple_of_avg")
 
 
 def spike_frequency(t: RetailTables, k: int = 20) -> DataFrame:

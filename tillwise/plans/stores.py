@@ -16,16 +16,16 @@ QUARTERLY_VIEW = "STORE_QUARTERLY_SALES"
 
 
 def supplier_products(t: RetailTables) -> DataFrame:
-    return (t.sold().groupBy(*STORE, *SUPPLIER, *PRODUCT)
-            .agg(m.orders(), m.units(), m.revenue("total_sales"))
+    return (t.sold_by_product(orders=True).groupBy(*STORE, *SUPPLIER, *PRODUCT)
+            .agg(m.counted_orders(), m.units(), m.revenue("total_sales"))
             .orderBy("storeName", "supplierName", F.desc("total_sales"), "Product_ID"))
 
 
 def supplier_subtotals(t: RetailTables) -> DataFrame:
     """Supplier totals inside each store, then the store total."""
     # suppliers are added up first, so the rollup only sees one row per supplier and store
-    suppliers = (t.sold().groupBy(F.struct(*STORE).alias("store"),
-                                  F.struct(*SUPPLIER).alias("supplier"))
+    suppliers = (t.sold_by_product()
+                 .groupBy(F.struct(*STORE).alias("store"), F.struct(*SUPPLIER).alias("supplier"))
                  .agg(F.sum("amount_cents").alias("amount_cents")))
     is_store = F.grouping("supplier") == 1
     return (suppliers.rollup("store", "supplier")
@@ -39,7 +39,7 @@ def supplier_subtotals(t: RetailTables) -> DataFrame:
 
 
 def top_suppliers(t: RetailTables, k: int = 3) -> DataFrame:
-    sales = t.sold().groupBy(*STORE, *SUPPLIER).agg(
+    sales = t.sold_by_product().groupBy(*STORE, *SUPPLIER).agg(
         m.revenue("total_sales"), m.distinct("Product_ID", "products_sold"))
     return (top_k_per_group(sales, ["storeID"],
                             [F.desc("total_sales"), *map(F.col, SUPPLIER), F.col("storeName")],

@@ -15,6 +15,15 @@ STORE = ["storeID", "storeName"]
 STORE_SUPPLIER = ["storeID", "storeName", "supplierID", "supplierName"]
 
 
+def _month() -> Column:
+    return cal.month_start(F.col("order_date")).alias("month_start")
+
+
+def _labelled(months: DataFrame) -> DataFrame:
+    label = cal.month_label(F.col("month_start"))
+    return months.withColumn("month_year", label).drop("month_start")
+
+
 def _total(column: str) -> Column:
     return F.sum(column).cast("decimal(20,2)").alias("total_revenue")
 
@@ -23,9 +32,8 @@ def _total(column: str) -> Column:
 
 def _category_months(t: RetailTables, year: int | None, *more: Column) -> DataFrame:
     sales = t.sold(cal.year_condition(t.transactions, year))
-    months = (sales.groupBy("Product_Category",
-                            cal.month_label(F.col("order_date")).alias("month_year"))
-              .agg(m.revenue("monthly_revenue"), *more))
+    months = _labelled(sales.groupBy("Product_Category", _month())
+                       .agg(m.revenue("monthly_revenue"), *more))
     return with_previous(months, ["Product_Category"], ["month_year"],
                          prev_month_revenue="monthly_revenue", prev_month="month_year")
 
@@ -92,9 +100,8 @@ def store_mean_growth(t: RetailTables, year: int | None = None) -> DataFrame:
 # --- stores and suppliers by month ---
 
 def _pair_months(t: RetailTables) -> DataFrame:
-    months = (t.sold()
-              .groupBy(*STORE_SUPPLIER, cal.month_label(F.col("order_date")).alias("month_year"))
-              .agg(m.revenue("monthly_revenue")))
+    months = _labelled(t.sold().groupBy(*STORE_SUPPLIER, _month())
+                       .agg(m.revenue("monthly_revenue")))
     return with_previous(months, ["storeID", "supplierID"],
                          ["month_year", "storeName", "supplierName"],
                          prev_revenue="monthly_revenue", prev_month="month_year")

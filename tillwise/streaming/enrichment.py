@@ -51,5 +51,16 @@ def run_to_end(*args, **kwargs) -> StreamingQuery:
     return query
 
 
+def received(query: StreamingQuery) -> int:
+    """Stream rows taken in by the batches whose progress Spark still keeps."""
+    return sum(progress["numInputRows"] for progress in query.recentProgress)
+
+
+def create_sink(spark: SparkSession, sink: str) -> None:
+    """An empty enriched table, unless the sink already exists."""
+    empty = spark.createDataFrame([], schemas.ENRICHED)
+    empty.write.mode("ignore").parquet(f"{sink}/{BATCH}=-1")
+
+
 def read_enriched(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.option("basePath", sink).parquet(sink).drop(BATCH)
