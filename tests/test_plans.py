@@ -42,3 +42,40 @@ def test_scan_reads_only_used_columns(spark):
     text = plan(spark, "q02_gender_city_pivot")
     assert "ReadSchema: struct<Customer_ID:bigint,Product_ID:string,quantity:int>" in text
     assert "ReadSchema: struct<Customer_ID:bigint,Gender:string,City_Category:string>" in text
+
+
+def test_hot_customer_is_split_when_masters_are_too_large_to_broadcast(spark, shop, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tillwise.plans import shoppers
+    from tillwise.sources import files
+    from tillwise.tables import RetailTables
+
+    # a third of 300,000 lines belongs to customer 1
+    lines = spark.range(0, 300_000, 1, 8).select(
+        F.lit(None).cast("bigint").alias("row_index"), F.col("id").alias("orderID"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 997 + 2).alias("Customer_ID"),
+        F.concat(F.lit("P"), F.col("id") % 50).alias("Product_ID"),
+        F.lit(1).alias("quantity"), F.lit("2020-01-06").cast("date").alias("order_date"))
+    people = [(i, "F" if i % 2 else "M", "55+", 1, "A", "1", 0) for i in range(1, 1000)]
+    goods = [(f"P{i}", "Toys", "1.00", 1, 7) for i in range(50)]
+    tables = RetailTables(shop.customers(people), shop.products(goods), lines)
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB"}
+    before = {key: spark.conf.get(key, None) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        staged = files.write_staging(tables, str(tmp_path))
+        report = shoppers.gender_by_city(staged, cities=["A"])
+        got = {r.Gender: int(r.total_purchase) for r in report.collect()}
+        assert "skew=true" in report._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    women = sum(1 for i in range(300_000) if i % 3 == 0 or (i % 997 + 2) % 2)
+    assert got == {"F": women, "M": 300_000 - women}

@@ -1,5 +1,7 @@
 """File sources with declared schemas, and sinks."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,10 +92,12 @@ def write_staging(t: RetailTables, folder: str) -> RetailTables:
     Written masters have a known size, by which Spark decides to broadcast them.
     """
     dated = t.transactions.withColumn(STORED_YEAR, F.year("order_date"))
-    t.customers.write.mode("overwrite").parquet(f"{folder}/customers")
-    t.products.write.mode("overwrite").parquet(f"{folder}/products")
-    (dated.hint("rebalance", STORED_YEAR)
-     .write.mode("overwrite").partitionBy(STORED_YEAR).parquet(f"{folder}/transactions"))
+    writers = {
+        "customers": t.customers.write, "products": t.products.write,
+        "transactions": dated.hint("rebalance", STORED_YEAR).write.partitionBy(STORED_YEAR)}
+    with ThreadPoolExecutor(len(writers)) as jobs:  # three independent jobs
+        list(jobs.map(lambda name: writers[name].mode("overwrite").parquet(
+            f"{folder}/{name}"), writers))
     spark = t.transactions.sparkSession
     return RetailTables(
         customers=spark.read.schema(t.customers.schema).parquet(f"{folder}/customers"),
