@@ -169,6 +169,34 @@ def test_daily_flag_marks_product_totals(shop, tmp_path):
     assert got == [("P1", D("10.000"), 1), ("P2", D("20.000"), 0)]
 
 
+def test_product_listed_twice_multiplies_lines_but_not_orders(shop):
+    products = [("P1", "Toys", "10.00", 1, 7), ("P1", "Toys", "12.00", 1, 7)]
+    t = shop.tables([(1, 1, "P1", 2, "2020-01-04"), (1, 1, "P1", 1, "2020-08-04")],
+                    products=products)
+    assert rows(stores.supplier_products(t).select(
+        "total_orders", "total_quantity", "total_sales")) == [(1, 6, D("66.00"))]
+    half = assortment.product_halves(t, 2020).first()
+    assert (half.h1_quantity, half.h1_revenue, half.h2_revenue, half.yearly_orders) == (
+        4, D("44.00"), D("22.00"), 1)
+    assert rows(assortment.product_seasons(t).select("season", "total_sales")) == [
+        ("Summer", D("22.00")), ("Winter", D("44.00"))]
+    # the report over joined lines agrees
+    assert rows(assortment.by_category(t).select("total_quantity", "total_sales")) == [
+        (6, D("66.00"))]
+
+
+def test_missing_price_and_quantity(shop):
+    products = [("P1", "Toys", "10.00", 1, 7), ("P2", "Toys", "1.00", 1, 7)]
+    t = shop.tables([(1, 1, "P1", None, "2020-01-04"), (2, 1, "P1", 3, "2020-08-04"),
+                     (3, 1, "P2", None, "2020-08-04")], products=products)
+    halves = {r.Product_ID: r for r in assortment.product_halves(t, 2020).collect()}
+    assert (halves["P1"].h1_revenue, halves["P1"].h2_revenue) == (D("0.00"), D("30.00"))
+    assert (halves["P2"].h1_revenue, halves["P2"].h2_revenue) == (D("0.00"), None)
+    # an average leaves out lines without a quantity, an order count does not
+    total = shoppers.by_gender(t).first()
+    assert (total.total_orders, total.avg_per_transaction) == (3, D("30.00"))
+
+
 def test_calendar_labels(spark):
     days = spark.createDataFrame([("2024-06-01",), ("2024-06-02",), ("2024-06-03",)], "d string")
     day = F.col("d").cast("date")

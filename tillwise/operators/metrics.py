@@ -40,8 +40,3 @@ def mean_amount(name: str = "avg_per_transaction") -> Column:
 
 def revenue_per(column: str, name: str) -> Column:
     return mean_money(F.sum("amount_cents"), F.count_distinct(column)).alias(name)
-
-
-def counted_orders(name: str = "total_orders") -> Column:
-    """Orders of ``sold_by_product`` rows: the same number on each copy of a product."""
-    return F.max("orders").alias(name)

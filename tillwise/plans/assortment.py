@@ -141,8 +141,10 @@ def season_order():
 
 def product_seasons(t: RetailTables) -> DataFrame:
     season = cal.season(F.month("order_date")).alias("season")
-    return (t.sold_by_product(season, orders=True).groupBy(*PRODUCT, "season")
-            .agg(m.revenue("total_sales"), m.units(), m.counted_orders())
+    return (t.sold_by_product(PRODUCT, season, orders=True)
+            .select(*PRODUCT, "season", from_cents(F.col("amount_cents")).alias("total_sales"),
+                    F.col("quantity").alias("total_quantity"),
+                    F.col("orders").alias("total_orders"))
             .orderBy("Product_Category", "Product_ID", season_order()))
 
 
@@ -193,18 +195,17 @@ def _product_halves(t: RetailTables, year: int | None) -> DataFrame:
                 .groupBy("Product_ID", "orderID").agg(F.sum(quantity).alias("units"), *per_order)
                 .groupBy("Product_ID").agg(F.sum("units").alias("units"),
                                            F.count("orderID").alias("orders"), *per_product)
-                .join(t.priced_products(), "Product_ID"))
+                .join(t.product_listing(PRODUCT), "Product_ID"))
     # without a price a half is worth zero if the other half has lines, else unknown
     cents = {h: F.coalesce(F.col(f"units_{h}") * F.col("price_cents"),
                            F.when(F.col(f"lines_{3 - h}") > 0, F.lit(0))) for h in in_half}
-    return products.groupBy(*PRODUCT).agg(
-        F.sum("units_1").alias("h1_quantity"), from_cents(F.sum(cents[1])).alias("h1_revenue"),
-        F.max("orders_1").alias("h1_orders"),
-        F.sum("units_2").alias("h2_quantity"), from_cents(F.sum(cents[2])).alias("h2_revenue"),
-        F.max("orders_2").alias("h2_orders"),
-        F.sum("units").alias("yearly_quantity"),
-        from_cents(F.sum(F.col("units") * F.col("price_cents"))).alias("yearly_revenue"),
-        F.max("orders").alias("yearly_orders"))
+    halves = [c for h in in_half for c in (
+        (F.col(f"units_{h}") * F.col("copies")).alias(f"h{h}_quantity"),
+        from_cents(cents[h]).alias(f"h{h}_revenue"), F.col(f"orders_{h}").alias(f"h{h}_orders"))]
+    return products.select(
+        *PRODUCT, *halves, (F.col("units") * F.col("copies")).alias("yearly_quantity"),
+        from_cents(F.col("units") * F.col("price_cents")).alias("yearly_revenue"),
+        F.col("orders").alias("yearly_orders"))
 
 
 def product_halves(t: RetailTables, year: int | None = None) -> DataFrame:
@@ -244,7 +245,7 @@ def half_gap(t: RetailTables, year: int | None = None, k: int = 20) -> DataFrame
     factor = F.lit(HALF_GAP_FACTOR).cast("decimal(3,1)")
     uneven = (one > 0) & (two > 0) & ((one > two * factor) | (two > one * factor))
     early = cal.first_half(F.col("order_date"))
-    in_half = t.sold_by_product(early.alias("early"),
+    in_half = t.sold_by_product(PRODUCT, early.alias("early"),
                                 where=cal.year_condition(t.transactions, year))
     halves = (in_half.groupBy(*PRODUCT)
               .agg(m.revenue("h1_revenue", F.col("early")), m.revenue("h2_revenue", ~F.col("early")))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tillwise.functions import calendar as cal
 from tillwise.functions.labels import EXTREME_SPIKE, HIGH_SPIKE, listed_order
 from tillwise.functions.money import WHOLE, from_cents, mean_money_fine
-from tillwise.operators import metrics as m
 from tillwise.operators.ranking import top_k, with_order_counts
 from tillwise.tables import RetailTables
 
@@ -24,8 +23,9 @@ def _days(t: RetailTables, keys: list[str]) -> DataFrame:
     averages are a window over the daily rows, so the days are computed once; a
     product has at most one row per calendar day there, however often it sells.
     """
-    days = t.sold_by_product("order_date").groupBy(*keys, "order_date").agg(
-        F.sum("amount_cents").alias("cents"), m.units("daily_quantity"))
+    days = t.sold_by_product(keys, "order_date").select(
+        *keys, "order_date", F.col("amount_cents").alias("cents"),
+        F.col("quantity").alias("daily_quantity"))
     product = W.partitionBy("Product_ID")
     return (days.withColumns({"days": F.count("*").over(product),
                               "priced_days": F.count("cents").over(product),

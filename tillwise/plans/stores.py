@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar as cal
+from tillwise.functions.money import from_cents
 from tillwise.operators import metrics as m
 from tillwise.operators.crosstab import with_total_row
 from tillwise.operators.ranking import top_k, top_k_per_group
@@ -16,15 +17,18 @@ QUARTERLY_VIEW = "STORE_QUARTERLY_SALES"
 
 
 def supplier_products(t: RetailTables) -> DataFrame:
-    return (t.sold_by_product(orders=True).groupBy(*STORE, *SUPPLIER, *PRODUCT)
-            .agg(m.counted_orders(), m.units(), m.revenue("total_sales"))
+    keys = [*STORE, *SUPPLIER, *PRODUCT]
+    return (t.sold_by_product(keys, orders=True)
+            .select(*keys, F.col("orders").alias("total_orders"),
+                    F.col("quantity").alias("total_quantity"),
+                    from_cents(F.col("amount_cents")).alias("total_sales"))
             .orderBy("storeName", "supplierName", F.desc("total_sales"), "Product_ID"))
 
 
 def supplier_subtotals(t: RetailTables) -> DataFrame:
     """Supplier totals inside each store, then the store total."""
     # suppliers are added up first, so the rollup only sees one row per supplier and store
-    suppliers = (t.sold_by_product()
+    suppliers = (t.sold_by_product([*STORE, *SUPPLIER, "Product_ID"])
                  .groupBy(F.struct(*STORE).alias("store"), F.struct(*SUPPLIER).alias("supplier"))
                  .agg(F.sum("amount_cents").alias("amount_cents")))
     is_store = F.grouping("supplier") == 1
@@ -39,7 +43,7 @@ def supplier_subtotals(t: RetailTables) -> DataFrame:
 
 
 def top_suppliers(t: RetailTables, k: int = 3) -> DataFrame:
-    sales = t.sold_by_product().groupBy(*STORE, *SUPPLIER).agg(
+    sales = t.sold_by_product([*STORE, *SUPPLIER, "Product_ID"]).groupBy(*STORE, *SUPPLIER).agg(
         m.revenue("total_sales"), m.distinct("Product_ID", "products_sold"))
     return (top_k_per_group(sales, ["storeID"],
                             [F.desc("total_sales"), *map(F.col, SUPPLIER), F.col("storeName")],

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions import calendar as cal
 from tillwise.operators import keys as k
+from tillwise.session import written
 from tillwise.tables import RetailTables
 
 TABLES = ["dim_customer", "dim_product", "dim_store", "dim_supplier", "dim_date", "fact_sales"]
@@ -87,8 +88,9 @@ def fact_rows(t: RetailTables, dims: dict[str, DataFrame]) -> DataFrame:
     """Sales lines with dimension keys.
 
     Store and supplier belong to the product, so the product side (product row,
-    store and supplier keys) is joined first, small with small, and the
-    transactions then meet one customer, one product and one date side each.
+    store and supplier keys) is joined first, small with small. It is written, so
+    that Spark knows its size when the transactions meet it, one customer side and
+    one date side.
     """
     listing = (t.products.select(F.col("Product_ID").alias("product_id"),
                                  F.col("storeID").alias("store_id"),
@@ -97,6 +99,7 @@ def fact_rows(t: RetailTables, dims: dict[str, DataFrame]) -> DataFrame:
                .join(dims["dim_store"], "store_id")
                .join(dims["dim_supplier"], "supplier_id")
                .select("product_id", "product_key", "store_key", "supplier_key", "price"))
+    listing = written(listing, "product-listing")
     revenue = (F.col("quantity") * F.col("price")).cast("decimal(12,2)")
     lines = t.transactions.select(
         F.col("Customer_ID").alias("customer_id"), F.col("Product_ID").alias("product_id"),

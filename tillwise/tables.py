@@ -35,20 +35,30 @@ class RetailTables:
         return (self.lines(where).join(self.priced_products(), "Product_ID")
                 .withColumn("amount_cents", F.col("quantity") * F.col("price_cents")))
 
-    def sold_by_product(self, *by: Column | str, orders: bool = False, where=None) -> DataFrame:
-        """Units (and orders) per product and ``by``, then joined with the products.
-
-        For reports that keep the product id in their groups. The transactions are
-        added up under the bare id before they meet the product, so a product sold in
-        a third of all lines is one row per task when it is shuffled, and however large
-        the product master is, no single transaction is shuffled to it. An id listed
-        twice appears twice, as it would after joining each line.
+    def product_listing(self, keys: list[str]) -> DataFrame:
+        """Products by ``keys`` (with the id): summed prices and number of copies.
+
+        A product listed twice counts twice in a join; here that is a factor, so rows
+        that meet the listing need not be added up again.
         """
-        units = F.sum(F.col("quantity").cast("bigint")).alias("quantity")
+        return self.priced_products().groupBy(*keys).agg(
+            F.sum("price_cents").alias("price_cents"), F.count("*").alias("copies"))
+
+    def sold_by_product(self, keys: list[str], *by: Column | str, orders: bool = False,
+                        where=None) -> DataFrame:
+        """Units, cents (and orders) per product ``keys``, which hold the id, and ``by``.
+
+        The transactions are added up under the bare id before they meet the product,
+        so a product sold in a third of all lines is one row per task when it is
+        shuffled, and however large the product master is, no single transaction is
+        shuffled to it.
+        """
+        units = F.sum(F.col("quantity").cast("bigint")).alias("units")
         counts = [F.count_distinct("orderID").alias("orders")] if orders else []
         return (self.lines(where).groupBy("Product_ID", *by).agg(units, *counts)
-                .join(self.priced_products(), "Product_ID")
-                .withColumn("amount_cents", F.col("quantity") * F.col("price_cents")))
+                .join(self.product_listing(keys), "Product_ID")
+                .withColumn("quantity", F.col("units") * F.col("copies"))
+                .withColumn("amount_cents", F.col("units") * F.col("price_cents")))
 
     def sold_to(self, where=None) -> DataFrame:
         """``sold`` plus the attributes of the buying customer."""
