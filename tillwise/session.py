@@ -12,6 +12,8 @@ SETTINGS = {
     # a hot key is worth one more shuffle after the join that splits it
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # a session that repeats the whole catalogue compiles each report once
+    "spark.sql.codegen.cache.maxEntries": "4000",
 }
 
 
