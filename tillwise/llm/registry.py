@@ -1,8 +1,9 @@
 """The queries of this subpackage and the SQL that checks them."""
 
-from tillwise.llm import secrets, simhash
+from tillwise.llm import secrets, simhash, token_counts
 
 QUERIES = {
+    "op5_token_counts": token_counts.op5_token_counts,
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op10_secret_scans": secrets.op10_secret_scans,
 }
