@@ -1,13 +1,15 @@
 """The queries of this subpackage and the SQL that checks them."""
 
-from tillwise.llm import secrets, simhash, token_counts
+from tillwise.llm import passages, secrets, simhash, token_counts
 
 QUERIES = {
+    "op9_substring_dedup": passages.op9_substring_dedup,
     "op5_token_counts": token_counts.op5_token_counts,
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op10_secret_scans": secrets.op10_secret_scans,
 }
 
 SQL = {
+    "op9_substring_dedup": passages.OP9_SQL,
     "op10_secret_scans": secrets.OP10_SQL,
 }
