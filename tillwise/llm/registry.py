@@ -1,8 +1,9 @@
 """The queries of this subpackage and the SQL that checks them."""
 
-from tillwise.llm import passages, quality, secrets, simhash, token_counts
+from tillwise.llm import contamination, passages, quality, secrets, simhash, token_counts
 
 QUERIES = {
+    "op6_benchmark_decontamination": contamination.op6_benchmark_decontamination,
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_substring_dedup": passages.op9_substring_dedup,
     "op5_token_counts": token_counts.op5_token_counts,
