@@ -129,16 +129,21 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame | None:
 
 def findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES,
              text: str = "text") -> DataFrame:
-    """``docs`` with ``found``: array of (start, at, kind, end) by start, then kind as listed;
-    null where a text has no secret. Only blobs with findings take part in the join."""
+    """``docs`` with ``_found``: array of (start, at, kind, end, past) by start, then kind as
+    listed; ``past`` is the largest end so far. Null where a text has no secret: only blobs
+    with findings take part in the join."""
     order = {r.key: (i, r.kind) for i, r in enumerate(rules)}
     at = F.coalesce(*[F.when(F.col("rule") == k, i) for k, (i, _) in order.items()])
     kind = F.coalesce(*[F.when(F.col("rule") == k, F.lit(n)) for k, (_, n) in order.items()])
-    found = (ledger.where(F.col("rule").isin(*order) & (F.size("spans") > 0))
-             .select("blob", at.alias("at"), kind.alias("kind"), F.explode("spans").alias("s"))
-             .groupBy("blob").agg(F.sort_array(F.collect_set(F.struct(
-                 F.col("s.start").alias("start"), "at", "kind", F.col("s.end").alias("end")))
-             ).alias("_found")))
+    once = (ledger.where(F.col("rule").isin(*order)).groupBy("blob", "rule")
+            .agg(F.max("spans").alias("spans")))
+    spans = once.select("blob", at.alias("at"), kind.alias("kind"), F.explode("spans").alias("s"))
+    before = (W.partitionBy("blob").orderBy("s.start", "at")
+              .rowsBetween(W.unboundedPreceding, -1))
+    found = (spans.withColumn("past", F.coalesce(F.max("s.end").over(before), F.lit(0)))
+             .groupBy("blob").agg(F.sort_array(F.collect_list(F.struct(
+                 F.col("s.start").alias("start"), "at", "kind", F.col("s.end").alias("end"),
+                 "past"))).alias("_found")))
     return (docs.withColumn("_blob", blob_of(F.col(text)))
             .join(found.withColumnRenamed("blob", "_blob"), "_blob", "left"))
 
@@ -151,7 +156,7 @@ def _joined(spans: Column) -> Column:
 def report(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Per document row: doc_id, spans per kind, the digest of all spans, and the spans."""
     spans = F.coalesce(F.col("_found"), F.array().cast(
-        "array<struct<start:int,at:int,kind:string,end:int>>"))
+        "array<struct<start:int,at:int,kind:string,end:int,past:int>>"))
     def count(kind: str) -> Column:
         return F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long")
     return (findings(docs.select("doc_id", "text"), ledger, rules)
@@ -165,13 +170,11 @@ def redact(docs: DataFrame, ledger: DataFrame, mark: str = "[SECRET]",
            rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every secret replaced by ``mark``: overlapping or touching spans by one.
     ``n_chars``, if there, is that of the new text. Clean rows stay as they are."""
-    first = lambda s, i: F.coalesce(F.array_max(F.transform(
-        F.slice("_found", 1, i), lambda x: x["end"])), F.lit(0))
     kept = F.transform("_found", lambda s, i: F.when(
-        (i == 0) | (s["start"] > first(s, i)),
-        F.concat(F.substring(F.col("text"), first(s, i) + 1, s["start"] - first(s, i)),
-                 F.lit(mark))).otherwise(""))
-    last = F.array_max(F.transform("_found", lambda x: x["end"]))
+        (i == 0) | (s["start"] > s["past"]),
+        F.concat(F.substring(F.col("text"), s["past"] + 1, s["start"] - s["past"]), F.lit(mark))
+        ).otherwise(""))
+    last = F.array_max(F.transform("_found", lambda s: s["end"]))
     clean = F.concat(F.array_join(kept, ""),
                      F.substring(F.col("text"), last + 1, F.length("text")))
     done = findings(docs, ledger, rules)

@@ -87,7 +87,7 @@ def frequent_pieces(docs: DataFrame, path: str, size: int = FREQUENT) -> dict[st
     return dict(zip(tokens, Pieces(path)(tokens), strict=True))
 
 
-_ROWS = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("token", pa.string()),
+_ROWS = pa.schema([("doc_id", pa.int64()), ("copy", pa.int32()), ("token", pa.string()),
                    ("freq", pa.int32()), ("base", pa.int64()), ("n_bytes", pa.int64())])
 
 
@@ -154,13 +154,14 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT,
     """(doc_id, n_bytes, n_tokens, over_limit) per row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     known = spark.sparkContext.broadcast(frequent_pieces(docs, path, frequent))
-    texts = docs.select("doc_id", F.xxhash64("text").alias("copy"), "text", F.octet_length(
+    texts = docs.select("doc_id", F.hash("text").alias("copy"), "text", F.octet_length(
         F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
     rows = texts.mapInArrow(
         lambda b: _documents(b, known.value),
-        "doc_id long, copy long, token string, freq int, base long, n_bytes long")
+        "doc_id long, copy int, token string, freq int, base long, n_bytes long")
     counted = (rows.repartition("token").sortWithinPartitions("token").mapInArrow(
-        lambda b: _count(b, path), "doc_id long, copy long, n_bytes long, rows int, pieces long"))
+        lambda b: _count(b, path), "doc_id long, copy int, n_bytes long, rows int, pieces long"))
+    # ``copy`` tells texts of one id apart, and four bytes of it are shuffled with every row;
     # equal rows add up to a multiple of the count of one, and are told apart again at the end
     total = (counted.groupBy("doc_id", "copy").agg(
         F.max("n_bytes").alias("n_bytes"), F.sum("rows").alias("rows"),
