@@ -1,8 +1,9 @@
 """The queries of this subpackage and the SQL that checks them."""
 
-from tillwise.llm import contamination, passages, pieces, quality, secrets, simhash, token_counts
+from tillwise.llm import chat, contamination, passages, pieces, quality, secrets, simhash, token_counts
 
 QUERIES = {
+    "op7_chat_formatting": chat.op7_chat_formatting,
     "op2_sentencepiece": pieces.op2_sentencepiece,
     "op6_benchmark_decontamination": contamination.op6_benchmark_decontamination,
     "op8_quality_classifier": quality.op8_quality_classifier,
