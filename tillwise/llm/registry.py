@@ -1,8 +1,9 @@
 """The queries of this subpackage and the SQL that checks them."""
 
-from tillwise.llm import chat, contamination, passages, pieces, quality, secrets, simhash, token_counts
+from tillwise.llm import chat, contamination, passages, pieces, quality, secrets, simhash, token_counts, vectors
 
 QUERIES = {
+    "op4_embedding_near_dedup": vectors.op4_embedding_near_dedup,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op2_sentencepiece": pieces.op2_sentencepiece,
     "op6_benchmark_decontamination": contamination.op6_benchmark_decontamination,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_embedding_near_dedup": vectors.OP4_SQL,
     "op9_substring_dedup": passages.OP9_SQL,
     "op10_secret_scans": secrets.OP10_SQL,
 }
