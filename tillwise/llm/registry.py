@@ -1,8 +1,9 @@
 """The queries of this subpackage and the SQL that checks them."""
 
-from tillwise.llm import chat, contamination, passages, pieces, quality, secrets, simhash, token_counts, vectors
+from tillwise.llm import chat, contamination, html_text, passages, pieces, quality, secrets, simhash, token_counts, vectors
 
 QUERIES = {
+    "op1_html_extraction": html_text.op1_html_extraction,
     "op4_embedding_near_dedup": vectors.op4_embedding_near_dedup,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op2_sentencepiece": pieces.op2_sentencepiece,
