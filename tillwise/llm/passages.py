@@ -12,7 +12,8 @@ cannot be repeated. The sieve loses nothing; only windows that pass it are dealt
 
 Whatever repeats inside one batch of a task is settled there, and one entry per hash and
 batch goes on. So a passage that a third of all documents share costs one entry per batch
-and not one per document.
+and not one per document. What is found out travels back to documents in one row for each
+part and bucket of documents.
 
 Results: order is by doc_id, a null id counting as the largest, then by start. Rows with one
 id count as one document for that order, and equal rows get equal results each. A null or
@@ -76,8 +77,8 @@ def minimizers(words: np.ndarray, rolling: Rolling, window: int, gram: int) -> n
 # ---- blobs of arrays ------------------------------------------------------------------
 
 
-_PARTED = "part int, doc_id long, copy long, own binary, a binary, b binary, c binary"
-_PARTED_ARROW = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("copy", pa.int64()),
+_PARTED = "part int, bucket int, own binary, a binary, b binary, c binary"
+_PARTED_ARROW = pa.schema([("part", pa.int32()), ("bucket", pa.int32()),
                            *[(n, pa.binary()) for n in ("own", "a", "b", "c")]])
 
 
@@ -111,6 +112,42 @@ def _spans(key: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(first, [*first[1:], len(key)], strict=False)
 
 
+def _mixed(ids: np.ndarray) -> np.ndarray:
+    return (ids.astype(np.uint64) * _BASES[0]) >> np.uint64(24)
+
+
+def _messages(ids: np.ndarray, copies: np.ndarray, values: np.ndarray, buckets: int
+              ) -> Iterator[tuple]:
+    """Values for documents, as one row (part, bucket, documents, values, null, null) for each bucket
+    of documents."""
+    bucket = (_mixed(ids) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((values, copies, ids, bucket))
+    bucket, ids, copies, values = bucket[order], ids[order], copies[order], values[order]
+    for lo, hi in _spans(bucket):
+        first = _runs(ids[lo:hi], copies[lo:hi])
+        own = np.stack([ids[lo:hi][first], copies[lo:hi][first],
+                        np.diff(np.append(first, hi - lo))], 1)
+        b = int(bucket[lo])
+        yield b, b, own.astype(np.int64).tobytes(), values[lo:hi].tobytes(), None, None
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], kind) -> Iterator[pa.RecordBatch]:
+    """One row (doc_id, copy, list) per document, from its messages; rows come by bucket."""
+    for messages, _ in _parts(batches):
+        own = _array(messages, "own", np.int64).reshape(-1, 3)
+        values = _array(messages, "a", kind)
+        doc = np.repeat(np.arange(len(own)), own[:, 2])
+        order = np.lexsort((values, own[doc, 1], own[doc, 0]))
+        doc, values = doc[order], values[order]
+        ids, copies = own[doc, 0], own[doc, 1]
+        first = _runs(ids, copies)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[first]), pa.array(copies[first]),
+             pa.array([values[lo:hi].tobytes() for lo, hi in zip(
+                 first, [*first[1:], len(ids)], strict=True)], pa.binary())],
+            names=["doc_id", "copy", "packed"])
+
+
 def _by_part(hashes: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     part = (hashes % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
@@ -142,8 +179,8 @@ def _slices(batches: Iterator[pa.RecordBatch], most: int = 16 << 20) -> Iterator
 
 def _sieve(batches: Iterator[pa.RecordBatch], window: int, gram: int, parts: int
            ) -> Iterator[tuple]:
-    """Rows (part, null, null, null, hashes, ids, null) to be counted, and rows (part, doc_id, null,
-    null, hashes, null, null) of minimizers already known to be repeated."""
+    """Rows (part, null, null, hashes, ids, known) to be counted, and messages of minimizers
+    already known to be repeated."""
     rolling = Rolling(_BASES[0])
     for batch in _slices(batches):
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -163,19 +200,16 @@ def _sieve(batches: Iterator[pa.RecordBatch], window: int, gram: int, parts: int
         single, owner = hashes[first], np.where(repeated, NO_ID, ids[at[first]] if len(first)
                                                 else np.zeros(0, np.int64))
         for p, which in _by_part(single, parts):
-            yield (p, None, None, None, single[which].tobytes(), owner[which].tobytes(),
+            yield (p, None, None, single[which].tobytes(), owner[which].tobytes(),
                    repeated[which].tobytes())
         again = np.repeat(repeated, np.diff(np.append(first, len(hashes))))
         hashes, at = hashes[again], at[again]
-        order = np.argsort(at, kind="stable")
-        hashes, at = hashes[order], at[order]
-        for lo, hi in _spans(at):
-            doc_id = int(ids[at[lo]])
-            yield doc_id % parts, doc_id, None, None, np.unique(hashes[lo:hi]).tobytes(), None, None
+        owners = ids[at] if len(at) else np.zeros(0, np.int64)
+        yield from _messages(owners, np.zeros_like(owners), hashes, parts)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[dict]]]:
-    """(rows about a document, blobs) of each part in turn; rows come in order of their part."""
+    """(messages, blobs) of each part in turn; rows come in order of their part."""
     part, done, blobs = None, [], []
     for batch in batches:
         for row in batch.to_pylist():
@@ -183,7 +217,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], lis
                 if part is not None:
                     yield done, blobs
                 part, done, blobs = row["part"], [], []
-            (blobs if row["doc_id"] is None else done).append(row)
+            (blobs if row["bucket"] is None else done).append(row)
     if part is not None:
         yield done, blobs
 
@@ -192,8 +226,8 @@ def _array(blobs: list[dict], name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join([x[name] for x in blobs]), kind)
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Rows (part, doc_id, null, null, hashes, null, null): the repeated minimizers of a document."""
+def _repeated(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[tuple]:
+    """Messages of repeated minimizers."""
     for done, blobs in _parts(batches):
         for row in done:
             yield tuple(row.values())
@@ -206,19 +240,15 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         first = _runs(hashes)
         sizes = np.diff(np.append(first, len(hashes)))
         ask = np.repeat(sizes > 1, sizes) & ~known
-        hashes, ids = hashes[ask], ids[ask]
-        order = np.argsort(ids, kind="stable")
-        hashes, ids = hashes[order], ids[order]
-        for lo, hi in _spans(ids):
-            yield 0, int(ids[lo]), None, None, hashes[lo:hi].tobytes(), None, None
+        yield from _messages(ids[ask], np.zeros(int(ask.sum()), np.int64), hashes[ask], parts)
 
 # ---- second round: windows that start earlier elsewhere --------------------------------
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int, gram: int, parts: int
              ) -> Iterator[tuple]:
-    """Rows (part, null, null, documents, two hash arrays, places) to be compared, and rows
-    (part, doc_id, copy, starts, null, null, null) of windows that are not the first."""
+    """Rows (part, null, documents, two hash arrays, places) to be compared, and messages of
+    windows that are not the first."""
     rolling, second = Rolling(_BASES[0]), Rolling(_BASES[1])
     for batch in _slices(batches):
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -227,7 +257,7 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, gram: int, parts: i
                   np.zeros(0, np.uint32))]
         hits = batch.column("hashes")
         for i, data in _docs(batch):
-            repeated = np.frombuffer(b"".join(hits[i].as_py() or []), np.uint64)
+            repeated = np.frombuffer(hits[i].as_py(), np.uint64)
             words = word_hashes(data) if len(repeated) else np.zeros((0, 2), np.uint64)
             if len(words) >= window:
                 starts, grams = minimizers(words[:, 0], rolling, window, gram)
@@ -242,29 +272,20 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, gram: int, parts: i
         sizes = np.diff(np.append(first, len(h1)))
         lead = np.repeat(first, sizes)
         least = (ids[doc] == ids[doc[lead]]) & (start == start[lead])
-        yield from _removals(ids, copies, doc[~least], start[~least], parts)
+        late = doc[~least]
+        yield from _messages(ids[late], copies[late], start[~least], parts)
         h1, h2, doc, start = h1[least], h2[least], doc[least], start[least]
         for p, which in _by_part(h1, parts):
             which = which[np.lexsort((start[which], doc[which]))]
             runs = _runs(doc[which])
             own = doc[which][runs]
             table = np.stack([ids[own], copies[own], np.diff(np.append(runs, len(which)))], 1)
-            yield (p, None, None, table.astype(np.int64).tobytes(), h1[which].tobytes(),
+            yield (p, None, table.astype(np.int64).tobytes(), h1[which].tobytes(),
                    h2[which].tobytes(), start[which].tobytes())
 
 
-def _removals(ids: np.ndarray, copies: np.ndarray, doc: np.ndarray, start: np.ndarray,
-              parts: int) -> Iterator[tuple]:
-    order = np.lexsort((start, doc))
-    doc, start = doc[order], start[order]
-    for lo, hi in _spans(doc):
-        i = doc[lo]
-        yield (int(ids[i]) % parts, int(ids[i]), int(copies[i]),
-               np.unique(start[lo:hi]).astype(np.uint32).tobytes(), None, None, None)
-
-
 def _later(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[tuple]:
-    """Rows (part, doc_id, copy, starts, null, null, null) of windows that are not the first."""
+    """Messages of windows that are not the first."""
     for done, blobs in _parts(batches):
         for row in done:
             yield tuple(row.values())
@@ -279,19 +300,20 @@ def _later(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[tuple]:
         first = _runs(h1, h2)
         lead = np.repeat(first, np.diff(np.append(first, len(h1))))
         least = (table[doc, 0] == table[doc[lead], 0]) & (start == start[lead])
-        yield from _removals(table[:, 0], table[:, 1], doc[~least], start[~least], parts)
+        late = doc[~least]
+        yield from _messages(table[late, 0], table[late, 1], start[~least], parts)
 
 # ---- whole corpus ---------------------------------------------------------------------
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    return rows.repartition("part").sortWithinPartitions("part")
+def _dealt(rows: DataFrame, by: str) -> DataFrame:
+    return rows.withColumn("part", F.col(by)).repartition("part").sortWithinPartitions("part")
 
 
 def repeated_starts(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
                     part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, copy, starts): the starts of the windows of a row whose word sequence also starts
-    earlier, as lists of packed 32-bit numbers. ``copy`` is a hash of the text."""
+    earlier, as packed 32-bit numbers. ``copy`` is a hash of the text."""
     if not 1 <= gram <= window:
         raise ValueError("a minimizer lies within a window")
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"),
@@ -299,15 +321,20 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = int(size // part_bytes) + 1
 
+    def gathered(rows: DataFrame, kind) -> DataFrame:
+        return _dealt(rows, "bucket").mapInArrow(
+            lambda b: _gathered(b, kind), "doc_id long, copy long, packed binary")
+
     sieved = texts.select("doc_id", "text").mapInArrow(
-        lambda b: _in_batches(_sieve(b, window, gram, 4 * parts)), _PARTED)
-    repeated = (_dealt(sieved).mapInArrow(lambda b: _in_batches(_repeated(b)), _PARTED)
-                .groupBy("doc_id").agg(F.collect_list("a").alias("hashes")))
-    repeated = keep(repeated, "minimizers")
+        lambda b: _in_batches(_sieve(b, window, gram, parts)), _PARTED)
+    repeated = keep(gathered(_dealt(sieved, "part").mapInArrow(
+        lambda b: _in_batches(_repeated(b, parts)), _PARTED), np.uint64)
+        .select("doc_id", F.col("packed").alias("hashes")), "minimizers")
     windows = texts.join(repeated, "doc_id").mapInArrow(
         lambda b: _in_batches(_windows(b, window, gram, parts)), _PARTED)
-    later = _dealt(windows).mapInArrow(lambda b: _in_batches(_later(b, parts)), _PARTED)
-    return keep(later.groupBy("doc_id", "copy").agg(F.collect_list("own").alias("starts")), "later")
+    later = _dealt(windows, "part").mapInArrow(lambda b: _in_batches(_later(b, parts)), _PARTED)
+    return keep(gathered(later, np.uint32).select(
+        "doc_id", "copy", F.col("packed").alias("starts")), "later")
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int, whole: bool) -> Iterator[pa.RecordBatch]:
@@ -317,7 +344,7 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int, whole: bool) -> Iterat
         out: list[list] = [[], [], []]
         starts = batch.column("starts")
         for i, data in _docs(batch):
-            at = np.frombuffer(b"".join(starts[i].as_py() or []), np.uint32).astype(np.int64)
+            at = np.frombuffer(starts[i].as_py() or b"", np.uint32).astype(np.int64)
             digest, text, n, removed, some = hashlib.sha256(), [], 0, 0, False
             at = np.sort(at)
             for words in word_blocks(data):
