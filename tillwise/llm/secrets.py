@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillwise.llm.tables import table
+from tillwise.llm.tables import fresh, table
 from tillwise.session import working_folder
 
 
@@ -127,9 +127,9 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame | None:
     return spark.read.schema(LEDGER_SCHEMA).parquet(folder)
 
 
-def findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES,
+def findings(docs: DataFrame, ledger: DataFrame, name: str, rules: tuple[Rule, ...] = RULES,
              text: str = "text") -> DataFrame:
-    """``docs`` with ``_found``: array of (start, at, kind, end, past) by start, then kind as
+    """``docs`` with a column ``name``: array of (start, at, kind, end, past) by start, then kind as
     listed; ``past`` is the largest end so far. Null where a text has no secret: only blobs
     with findings take part in the join."""
     order = {r.key: (i, r.kind) for i, r in enumerate(rules)}
@@ -143,9 +143,10 @@ def findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES
     found = (spans.withColumn("past", F.coalesce(F.max("s.end").over(before), F.lit(0)))
              .groupBy("blob").agg(F.sort_array(F.collect_list(F.struct(
                  F.col("s.start").alias("start"), "at", "kind", F.col("s.end").alias("end"),
-                 "past"))).alias("_found")))
-    return (docs.withColumn("_blob", blob_of(F.col(text)))
-            .join(found.withColumnRenamed("blob", "_blob"), "_blob", "left"))
+                 "past"))).alias(name)))
+    blob = fresh(docs, "blob")[0]
+    return (docs.withColumn(blob, blob_of(F.col(text)))
+            .join(found.withColumnRenamed("blob", blob), blob, "left").drop(blob))
 
 
 def _joined(spans: Column) -> Column:
@@ -159,7 +160,7 @@ def report(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES)
         "array<struct<start:int,at:int,kind:string,end:int,past:int>>"))
     def count(kind: str) -> Column:
         return F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long")
-    return (findings(docs.select("doc_id", "text"), ledger, rules)
+    return (findings(docs.select("doc_id", "text"), ledger, "_found", rules)
             .select("doc_id", spans.alias("_spans"))
             .select("doc_id", *[count(r.kind).alias(f"n_{r.kind}") for r in rules],
                     F.sha2(_joined(F.col("_spans")), 256).alias("base_sha256"),
@@ -170,17 +171,18 @@ def redact(docs: DataFrame, ledger: DataFrame, mark: str = "[SECRET]",
            rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every secret replaced by ``mark``: overlapping or touching spans by one.
     ``n_chars``, if there, is that of the new text. Clean rows stay as they are."""
-    kept = F.transform("_found", lambda s, i: F.when(
+    found = fresh(docs, "found")[0]
+    kept = F.transform(found, lambda s, i: F.when(
         (i == 0) | (s["start"] > s["past"]),
         F.concat(F.substring(F.col("text"), s["past"] + 1, s["start"] - s["past"]), F.lit(mark))
         ).otherwise(""))
-    last = F.array_max(F.transform("_found", lambda s: s["end"]))
+    last = F.array_max(F.transform(found, lambda s: s["end"]))
     clean = F.concat(F.array_join(kept, ""),
                      F.substring(F.col("text"), last + 1, F.length("text")))
-    done = findings(docs, ledger, rules)
-    done = done.withColumn("text", F.when(F.col("_found").isNull(), F.col("text")).otherwise(clean))
+    done = findings(docs, ledger, found, rules)
+    done = done.withColumn("text", F.when(F.col(found).isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("_found").isNull(), F.col("n_chars"))
+        done = done.withColumn("n_chars", F.when(F.col(found).isNull(), F.col("n_chars"))
                                .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return done.select(*docs.columns)
 

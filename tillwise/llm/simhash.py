@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.llm.components import components
-from tillwise.llm.tables import keep, table
+from tillwise.llm.tables import fresh, keep, table
 from tillwise.llm.words import shingles
 
 SHINGLE_WORDS = 4
@@ -218,15 +218,16 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, radius: int = RADIU
 def keep_one(docs: DataFrame, n: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component one row with the smallest
     id stays (of several, the one whose text and then whose other columns hash lowest)."""
+    text, nth, first_id, first_copy = fresh(docs, "text_hash", "nth", "first_id", "first_copy")
     winners = (near_duplicates(docs, n, radius).where("doc_id <=> component_id")
                .groupBy("component").agg(F.min(F.struct("doc_id", "copy")).alias("w"))
-               .select(F.col("w.doc_id").alias("_id"), F.col("w.copy").alias("_copy")))
-    rows = docs.withColumn("_text", F.xxhash64("text"))
-    rows = rows.join(winners, F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & (F.col("_text") == F.col("_copy")), "left_semi")
-    once = W.partitionBy("_text", "doc_id").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-    return (rows.withColumn("_nth", F.row_number().over(once))
-            .where("_nth = 1").select(*docs.columns))
+               .select(F.col("w.doc_id").alias(first_id), F.col("w.copy").alias(first_copy)))
+    rows = docs.withColumn(text, F.xxhash64("text"))
+    rows = rows.join(winners, F.col("doc_id").eqNullSafe(F.col(first_id))
+                     & (F.col(text) == F.col(first_copy)), "left_semi")
+    once = W.partitionBy(text, "doc_id").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
+    return (rows.withColumn(nth, F.row_number().over(once))
+            .where(F.col(nth) == 1).select(*docs.columns))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

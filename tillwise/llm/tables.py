@@ -15,3 +15,15 @@ def keep(df: DataFrame, purpose: str) -> DataFrame:
     folder = working_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        found.append(name)
+    return found
