@@ -136,6 +136,8 @@ class Layouts:
         bare = r.random() < 0.15  # main text that no element of its own holds
         mark = ' data-main="1"' if bare else ""
         blocks = r.choice(self.main)[:r.randint(1, 30)]
+        if r.random() < 0.06:  # a long page
+            blocks = blocks * (r.randint(50, 500) // len(blocks) + 1)
         for k, block in enumerate(blocks):
             tag = "h1" if k == 0 and r.random() < 0.7 else r.choices(
                 ["p", "h2", "blockquote", "ul", "pre", "div", "table"], [30, 2, 2, 2, 1, 3, 1])[0]
