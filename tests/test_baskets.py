@@ -34,6 +34,7 @@ CASES = {
     "large among rare pairs": lines_of(ORDINARY + [40, 60, 80], 400, 3),
     "only large": lines_of([50, 60, 70], 100, 4),
     "one basket holds a third of the lines": lines_of(ORDINARY + [sum(ORDINARY) // 2], 200, 5),
+    "many different large baskets": lines_of(ORDINARY + [60] * 24, 120, 6),
     "identical large baskets": [(b, f"P{i:03d}") for b in range(3) for i in range(60)],
 }
 
@@ -43,10 +44,24 @@ CASES = {
 def test_top_pairs(spark, case, weighted, at_least):
     lines = CASES[case]
     df = spark.createDataFrame(lines, "basket int, product string")
-    got = top_pairs(basket_lines(df, ["basket"], "product"), 10, weighted, at_least, large=9)
+    got = top_pairs(basket_lines(df, ["basket"], "product"), 10, weighted, at_least,
+                    block=9, pilot=12)
     assert [tuple(r) for r in got.collect()] == brute_force(lines, 10, weighted, at_least)
 
 
 def test_unknown_basket_or_item_is_left_out(spark):
     df = spark.createDataFrame([(1, "A"), (1, None), (None, "A"), (None, "B")], "b int, p string")
     assert top_pairs(basket_lines(df, ["b"], "p"), 5).count() == 0
+
+
+def test_one_plan_for_all_sizes(spark):
+    """The plan does not look at the sizes of baskets."""
+    from tillwise.operators import baskets
+    plans = []
+    for sizes in (ORDINARY, ORDINARY + [500]):
+        df = spark.createDataFrame(lines_of(sizes, 600, 7), "basket int, product string")
+        lines = basket_lines(df, ["basket"], "product")
+        held = baskets._weigh(lines, False)
+        text = baskets._count_pairs(held, 16)._jdf.queryExecution().optimizedPlan().toString()
+        plans.append([line.strip(" +-:").split(" ")[0] for line in text.split("\n")])
+    assert plans[0] == plans[1]

@@ -1,26 +1,26 @@
-"""Items bought together: exact top pairs without enumerating giant baskets.
-
-A basket with ``n`` different items holds ``n * (n - 1) / 2`` pairs. Baskets up to
-``large`` items are enumerated, which costs at most ``large / 2`` pairs per row. A
-larger basket (a reseller, a test account, a third of the table) is never
-enumerated whole. Let ``floor`` be the k-th best count among the enumerated
-baskets alone: k pairs reach it, so nothing below it can be in the result.
-
-* A pair seen in some ordinary basket gets the large baskets added to its count,
-  if that can lift it to ``floor``.
-* A pair seen only in large baskets needs two items that each weigh at least
-  ``floor`` in large baskets. Items with the same large baskets and the same
-  weights there are interchangeable, and pairs of equal count rank by item, so
-  only the first ``k + 1`` items of such a class can be among the first k pairs.
+"""Items bought together: exact top pairs, one way for baskets of every size.
+
+A pair cannot count more than what either of its items can reach: the sum over the item's
+baskets of its weight times the heaviest weight there. Let ``floor`` be the k-th best
+count among pairs of the ``PILOT`` items that reach most: k pairs have it, so an item that
+reaches less is in none of the first k pairs. The items left are paired, basket by basket.
+
+A basket is dealt into blocks of about ``block`` items by a hash, and each two of its blocks
+meet in a group of their own. So no task holds a basket whole, and a group makes at most
+``2 * block ** 2`` pairs of its ``2 * block`` rows however large the basket is.
+
+What remains is the number of pairs itself: large baskets of items that all reach the floor
+are paired in full, and their pairs grow with the square of their size. A higher ``at_least``
+raises the floor.
 """
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.session import written
 
-LARGE_BASKET = 256
+BLOCK = 128
+PILOT = 64
 
 
 def basket_lines(df: DataFrame, basket: list[str], item: str) -> DataFrame:
@@ -30,102 +30,52 @@ def basket_lines(df: DataFrame, basket: list[str], item: str) -> DataFrame:
 
 
 def top_pairs(lines: DataFrame, k: int, weighted: bool = False, at_least: int = 1,
-              large: int = LARGE_BASKET) -> DataFrame:
+              block: int = BLOCK, pilot: int = PILOT) -> DataFrame:
     """The ``k`` pairs with the highest count (then by item), ``item_1 < item_2``.
 
     The count is the number of baskets, or of line pairs when ``weighted``.
     """
-    # lines are at least as many as items, so this may only suspect too many
-    suspects = lines.groupBy("basket").agg(F.count("*").alias("n")).where(F.col("n") > large)
-    if suspects.isEmpty():
-        counted = _count_pairs(lines, weighted)
-    else:
-        counted = _with_large_baskets(_weigh(lines, weighted), k, at_least, large)
+    held = written(_weigh(lines, weighted), "basket-items")
+    reach = written(_reach(held, weighted), "item-reach")
+    leaders = reach.orderBy(F.desc("reach"), "item").limit(pilot).select("item")
+    best = (_count_pairs(held.join(leaders, "item", "left_semi"), block)
+            .orderBy(F.desc("times")).limit(k))
+    floor = best.agg(F.when(F.count("*") == k, F.min("times")).alias("kth")).scalar()
+    hopeful = reach.where(F.col("reach") >= F.greatest(floor, F.lit(at_least))).select("item")
+    counted = _count_pairs(held.join(hopeful, "item", "left_semi"), block)
     return (counted.where(F.col("times") >= at_least)
             .orderBy(F.desc("times"), "item_1", "item_2").limit(k))
 
 
-def _count_pairs(lines: DataFrame, weighted: bool) -> DataFrame:
-    """All pairs of ordinary baskets: one shuffle by basket, one by pair.
-
-    Each basket becomes one sorted array (of at most ``large`` lines), and two
-    explodes in a row emit its pairs without building the list of them.
-    """
-    collect = F.collect_list if weighted else F.collect_set
-    items = lines.groupBy("basket").agg(F.sort_array(collect("item")).alias("items"))
-    firsts = items.where(F.size("items") > 1).select(
-        "items", F.posexplode("items").alias("at", "item_1"))
-    later = F.slice("items", F.col("at") + 2, F.size("items"))
-    pairs = firsts.select("item_1", F.explode(later).alias("item_2"))
-    return (pairs.where(F.col("item_1") < F.col("item_2"))
-            .groupBy("item_1", "item_2").agg(F.count("*").alias("times")))
-
-
 def _weigh(lines: DataFrame, weighted: bool) -> DataFrame:
     """One row per basket and item; the weight is its number of lines, or 1."""
     weight = F.count("*") if weighted else F.lit(1).cast("bigint")
     return lines.groupBy("basket", "item").agg(weight.alias("weight"))
 
 
-def _count_weighted(lines: DataFrame) -> DataFrame:
-    """``_count_pairs`` over weighed lines."""
-    items = lines.groupBy("basket").agg(
-        F.sort_array(F.collect_list(F.struct("item", "weight"))).alias("items"))
-    firsts = items.where(F.size("items") > 1).select(
-        "items", F.posexplode("items").alias("at", "a"))
+def _reach(held: DataFrame, weighted: bool) -> DataFrame:
+    """The most a pair with the item can count."""
+    if not weighted:
+        return held.groupBy("item").agg(F.count("*").alias("reach"))
+    heaviest = held.groupBy("basket").agg(F.max("weight").alias("heaviest"))
+    return (held.join(heaviest, "basket").groupBy("item")
+            .agg(F.sum(F.col("weight") * F.col("heaviest")).alias("reach")))
+
+
+def _count_pairs(held: DataFrame, block: int) -> DataFrame:
+    """Counts of all pairs of ``held`` (basket, item, weight)."""
+    blocks = held.groupBy("basket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
+    dealt = (held.join(blocks, "basket").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    groups = (dealt.groupBy("basket", F.least("own", "other").alias("low"),
+                            F.greatest("own", "other").alias("high"))
+              .agg(F.sort_array(F.collect_list(F.struct("item", "weight", "own"))).alias("items")))
+    firsts = groups.where(F.size("items") > 1).select(
+        "low", "high", "items", F.posexplode("items").alias("at", "a"))
     later = F.slice("items", F.col("at") + 2, F.size("items"))
-    pairs = firsts.select("a", F.explode(later).alias("b"))
-    return (pairs.groupBy(F.col("a.item").alias("item_1"), F.col("b.item").alias("item_2"))
+    pairs = firsts.select("low", "high", "a", F.explode(later).alias("b"))
+    # two items of one block meet in the block's own group only
+    met = pairs.where((F.col("low") == F.col("high")) | (F.col("a.own") != F.col("b.own")))
+    return (met.groupBy(F.col("a.item").alias("item_1"), F.col("b.item").alias("item_2"))
             .agg(F.sum(F.col("a.weight") * F.col("b.weight")).alias("times")))
-
-
-def _with_large_baskets(lines: DataFrame, k: int, at_least: int, large: int) -> DataFrame:
-    """Counts of every pair that can be among the first ``k``."""
-    lines = written(lines, "basket-lines")
-    sizes = lines.groupBy("basket").agg(
-        F.count("*").alias("n"), F.max("weight").alias("heaviest"))
-    large_baskets = sizes.where(F.col("n") > large).select("basket", "heaviest")
-    in_large = written(lines.join(large_baskets, "basket"), "large-baskets")
-    ordinary = lines.join(large_baskets.select("basket"), "basket", "left_anti")
-    counted = written(_count_weighted(ordinary), "pair-counts")
-
-    best = counted.orderBy(F.desc("times")).limit(k).agg(
-        F.when(F.count("*") == k, F.min("times")).alias("kth")).first()["kth"]
-    floor = max(best or 0, at_least)
-
-    # the most an item can add to any of its pairs through large baskets
-    reach = in_large.groupBy("item").agg(
-        F.sum(F.col("weight") * F.col("heaviest")).alias("reach"))
-    gain = F.least(F.coalesce("reach_1", F.lit(0)), F.coalesce("reach_2", F.lit(0)))
-    hopeful = (counted.join(reach.toDF("item_1", "reach_1"), "item_1", "left")
-               .join(reach.toDF("item_2", "reach_2"), "item_2", "left")
-               .withColumn("gain", gain)
-               .where(F.col("times") + F.col("gain") >= floor))
-    first, second = (in_large.select("basket", F.col("item").alias(f"item_{i}"),
-                                     F.col("weight").alias(f"weight_{i}")) for i in (1, 2))
-    product = F.sum(F.col("weight_1") * F.col("weight_2")).alias("large_times")
-    added = (hopeful.where("gain > 0").select("item_1", "item_2")
-             .join(first, "item_1").join(second, ["basket", "item_2"])
-             .groupBy("item_1", "item_2").agg(product))
-    seen = (hopeful.join(added, ["item_1", "item_2"], "left")
-            .select("item_1", "item_2",
-                    (F.col("times") + F.coalesce("large_times", F.lit(0))).alias("times")))
-
-    # two 64-bit fingerprints of the item's set of (large basket, weight)
-    eligible = in_large.join(
-        reach.where(F.col("reach") >= floor).select("item"), "item", "left_semi")
-    classes = eligible.groupBy("item").agg(
-        F.bit_xor(F.xxhash64(F.lit(1), "basket", "weight")).alias("print_1"),
-        F.bit_xor(F.xxhash64(F.lit(2), "basket", "weight")).alias("print_2"))
-    in_class = F.row_number().over(W.partitionBy("print_1", "print_2").orderBy("item"))
-    leaders = classes.withColumn("nth", in_class).where(F.col("nth") <= k + 1).select("item")
-    led = in_large.join(leaders, "item", "left_semi")
-    pairs = (led.select("basket", F.col("item").alias("item_1"), F.col("weight").alias("weight_1"))
-             .join(led.select("basket", F.col("item").alias("item_2"),
-                              F.col("weight").alias("weight_2")), "basket")
-             .where(F.col("item_1") < F.col("item_2"))
-             .groupBy("item_1", "item_2").agg(product))
-    only_large = (pairs.where(F.col("large_times") >= floor)
-                  .join(counted, ["item_1", "item_2"], "left_anti")
-                  .select("item_1", "item_2", F.col("large_times").alias("times")))
-    return seen.unionByName(only_large)

@@ -4,18 +4,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillwise.operators.baskets import LARGE_BASKET, basket_lines, top_pairs
+from tillwise.operators.baskets import basket_lines, top_pairs
 from tillwise.operators.ranking import numbered, top_k
 from tillwise.tables import RetailTables
 
 VISIT = ["Customer_ID", "order_date"]
 
 
-def product_pairs(t: RetailTables, k: int = 20, large: int = LARGE_BASKET) -> DataFrame:
+def product_pairs(t: RetailTables, k: int = 20) -> DataFrame:
     """Pairs bought together on more than one visit, with both categories."""
     listed = t.transactions.join(t.products.select("Product_ID"), "Product_ID", "left_semi")
     pairs = top_pairs(basket_lines(listed, VISIT, "Product_ID"), k,
-                      at_least=2, large=large)
+                      at_least=2)
     category = t.products.select("Product_ID", "Product_Category")
     first = category.toDF("product_1", "category_1")
     second = category.toDF("product_2", "category_2")
@@ -28,10 +28,10 @@ def product_pairs(t: RetailTables, k: int = 20, large: int = LARGE_BASKET) -> Da
                     "times_bought_together"))
 
 
-def category_pairs(t: RetailTables, k: int = 15, large: int = LARGE_BASKET) -> DataFrame:
+def category_pairs(t: RetailTables, k: int = 15) -> DataFrame:
     """Category pairs by visits, with a score relative to the most frequent pair."""
     lines = basket_lines(t.sold(), VISIT, "Product_Category")
-    top = top_pairs(lines, k, large=large).select(
+    top = top_pairs(lines, k).select(
         F.col("item_1").alias("category_1"), F.col("item_2").alias("category_2"),
         F.col("times").alias("times_bought_together"))
     order = [F.desc("times_bought_together"), F.col("category_1"), F.col("category_2")]

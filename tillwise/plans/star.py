@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions import calendar as cal
 from tillwise.functions.money import MONEY, from_cents, mean_money_fine, percent, to_cents
-from tillwise.operators.baskets import LARGE_BASKET, basket_lines, top_pairs
+from tillwise.operators.baskets import basket_lines, top_pairs
 from tillwise.operators.growth import with_previous_month
 from tillwise.operators.ranking import top_k
 from tillwise.plans.warehouse import FACT_PARTITION, Warehouse
@@ -135,10 +135,10 @@ def store_supplier_growth(w: Warehouse) -> DataFrame:
             .orderBy(*pair, "month", "prev_month"))
 
 
-def order_pairs(t: RetailTables, k: int = 5, large: int = LARGE_BASKET) -> DataFrame:
+def order_pairs(t: RetailTables, k: int = 5) -> DataFrame:
     """Product pairs by the number of line pairs that share an order."""
     lines = basket_lines(t.transactions, ["orderID"], "Product_ID")
-    return top_pairs(lines, k, weighted=True, large=large).select(
+    return top_pairs(lines, k, weighted=True).select(
         F.col("item_1").alias("product_1"), F.col("item_2").alias("product_2"),
         F.col("times").alias("product_bought_together"))
 
