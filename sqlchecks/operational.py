@@ -79,6 +79,8 @@ def statements(full_year: int) -> dict[str, str]:
     found["q02_by_city"] = _profile("City_Category")
     cells = ", ".join(revenue("city_" + c.lower().replace(" ", "_"), f"City_Category = '{c}'")
                       for c in CITIES)
+    cells += ", " + revenue("city_other", "City_Category IS NULL OR City_Category NOT IN ("
+                            + ", ".join(f"'{c}'" for c in CITIES) + ")")
     found["q02_gender_city_pivot"] = f"""SELECT Gender, {cells}, {revenue('total_purchase')}
       FROM sold_to GROUP BY Gender"""
     found["q04_gender_age_quarter"] = f"""SELECT Gender, Age, qtr AS quarter, {CUST}, {ORD}, {QTY},
@@ -95,6 +97,8 @@ def statements(full_year: int) -> dict[str, str]:
     found["q03_top10_occ_category"] = f"""SELECT Occupation, Product_Category, {revenue('total_sales')}
       FROM sold_to GROUP BY ALL ORDER BY sum(cents) DESC, 1, 2 LIMIT 10"""
     cells = ", ".join(revenue("occ_" + o.lower(), f"Occupation = '{o}'") for o in OCCUPATIONS)
+    cells += ", " + revenue("occ_other", "Occupation IS NULL OR Occupation NOT IN ("
+                            + ", ".join(f"'{o}'" for o in OCCUPATIONS) + ")")
     found["q03_top_category_matrix"] = f""", best AS (
         SELECT Product_Category FROM sold GROUP BY 1 ORDER BY sum(cents) DESC, 1 LIMIT 5)
       SELECT Product_Category, {cells} FROM sold_to SEMI JOIN best USING (Product_Category)
@@ -410,11 +414,4 @@ def statements(full_year: int) -> dict[str, str]:
                 ORDER BY total_sales DESC, sales_year, sales_quarter, storeName) AS rn FROM view)
       SELECT storeName, year_quarter, total_sales FROM r WHERE rn = 1
       ORDER BY total_sales DESC, storeName, storeID LIMIT 10"""
-    names = ["storeID int", "storeName string", "sales_year int", "sales_quarter int",
-             "year_quarter string", "total_orders bigint", "unique_customers bigint",
-             "total_quantity bigint", "total_sales decimal(20,2)",
-             "avg_order_value decimal(20,2)", "products_sold bigint", "suppliers_involved bigint"]
-    rows = ", ".join("({}, '{}', '{}')".format(i, *n.split()) for i, n in enumerate(names, 1))
-    found["q20_view_schema"] = f""" SELECT * FROM (VALUES {rows})
-      AS columns(position, column_name, column_type)"""
     return {name: statement(" " + body) for name, body in found.items()}

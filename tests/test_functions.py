@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sqlchecks import sql
 from tillwise.functions import calendar as cal
 from tillwise.functions import money
-from tillwise.operators.crosstab import crosstab, slug, with_total_row
+from tillwise.operators.crosstab import crosstab, slug, values_of, with_total_row
 from tillwise.sources import files
 
 
@@ -48,13 +48,23 @@ def test_crosstab_and_total_row(spark):
     df = spark.createDataFrame([("a", "x y", 1), ("a", "z", 2), ("b", "z", 4)], "r string, c string, n bigint")
     table = crosstab(df, "r", "c", ["x y", "z", "w"], "c_",
                      lambda where: F.sum(F.when(where, F.col("n"))), "total")
-    assert sorted(map(tuple, table.collect())) == [("a", 1, 2, 0, 3), ("b", 0, 4, 0, 4)]
+    assert sorted(map(tuple, table.collect())) == [("a", 1, 2, 0, 0, 3), ("b", 0, 4, 0, 0, 4)]
     totalled = with_total_row(table, "r", ["c_z", "total"]).orderBy("is_total", "r")
     assert [tuple(r) for r in totalled.select("r", "c_x_y", "c_z", "total").collect()] == [
         ("a", 1, 2, 3), ("b", 0, 4, 4), ("TOTAL", None, 6, 7)]
     assert slug("MIDDLE EAST") == "middle_east" and slug(7) == "7"
 
 
+def test_crosstab_keeps_what_is_not_listed(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "new", 2), ("a", None, 4)],
+                               "r string, c string, n bigint")
+    def cell(where):
+        return F.sum(F.when(where, F.col("n")))
+    table = crosstab(df, "r", "c", ["x"], "c_", cell, "total")
+    assert [tuple(r) for r in table.collect()] == [("a", 1, 6, 7)]
+    assert values_of(df, "c") == ["new", "x"]
+
+
 def test_total_row_keeps_a_group_that_is_itself_called_total(spark):
     df = spark.createDataFrame([("TOTAL", 1), ("a", 2), (None, 4)], "r string, n bigint")
     got = with_total_row(df, "r", ["n"])

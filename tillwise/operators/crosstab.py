@@ -5,7 +5,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOTAL = "TOTAL"
+TOTAL, OTHER = "TOTAL", "other"
+MOST_COLUMNS = 1000  # values beyond these are counted in the column of other values
 
 
 def slug(value) -> str:
@@ -14,20 +15,30 @@ def slug(value) -> str:
 
 def crosstab(df: DataFrame, row: str, column: str, values: list, prefix: str,
              cell, row_total: str | None = None) -> DataFrame:
-    """One row per ``row`` value and one ``prefix`` + value column per listed value.
+    """One row per ``row`` value, one ``prefix`` + value column per listed value, and a column
+    ``prefix`` + OTHER for all rows with another value or none, so nothing is lost.
 
     ``cell`` maps a condition to an aggregate, so the whole table is one
     aggregation without a pass to discover the values. Empty cells are zero.
     """
-    cells = [F.coalesce(cell(F.col(column) == F.lit(v)), F.lit(0)).alias(prefix + slug(v))
-             for v in values]
-    table = df.groupBy(row).agg(*cells)
+    of = F.col(column)
+    listed = F.coalesce(of.isin(list(values)), F.lit(False))
+    names = [prefix + slug(v) for v in values] + [prefix + OTHER]
+    cells = [cell(of == F.lit(v)) for v in values] + [cell(~listed)]
+    table = df.groupBy(row).agg(*[
+        F.coalesce(c, F.lit(0)).alias(name) for name, c in zip(names, cells)])
     if row_total:
-        total = sum((F.col(prefix + slug(v)) for v in values[1:]), F.col(prefix + slug(values[0])))
-        table = table.withColumn(row_total, total.cast(table.schema[prefix + slug(values[0])].dataType))
+        total = sum((F.col(name) for name in names[1:]), F.col(names[0]))
+        table = table.withColumn(row_total, total.cast(table.schema[names[0]].dataType))
     return table
 
 
+def values_of(df: DataFrame, column: str) -> list:
+    """The known values of a column of few values, in order: columns of a cross-tab."""
+    return [r[0] for r in df.select(column).where(F.col(column).isNotNull())
+            .distinct().orderBy(column).limit(MOST_COLUMNS).collect()]
+
+
 def with_total_row(df: DataFrame, label: str, sums: list[str]) -> DataFrame:
     """Append a row labelled TOTAL with the sums of ``sums``, marked by ``is_total``.
 

@@ -16,7 +16,7 @@ from tillwise.plans import (affinity, assortment, enriched, shoppers, spikes, st
 Report = Callable[..., DataFrame]
 
 
-def operational(cities=shoppers.CITIES, occupations=range(21), full_year: int | None = None,
+def operational(cities=None, occupations=None, full_year: int | None = None,
                 quarterly_year: int = 2020) -> dict[str, Report]:
     """Reports over ``RetailTables``; ``full_year`` serves those that compare parts of a year."""
     return {
@@ -85,7 +85,6 @@ def operational(cities=shoppers.CITIES, occupations=range(21), full_year: int |
         "q19_spike_frequency": spikes.spike_frequency,
         "q19_spike_by_weekday": spikes.spikes_by_weekday,
         "q20_store_quarterly": stores.store_quarters,
-        "q20_view_schema": stores.quarterly_view_schema,
         "q20_preview": stores.quarterly_preview,
         "q20_store_totals": stores.store_totals,
         "q20_quarter_trend": stores.quarter_trend,

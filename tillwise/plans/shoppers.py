@@ -7,7 +7,7 @@ from tillwise.functions import calendar as cal
 from tillwise.functions.labels import AGE_GROUPS, STAY_YEARS, larger_of, listed_order
 from tillwise.functions.money import MONEY, mean_money, share_or_zero
 from tillwise.operators import metrics as m
-from tillwise.operators.crosstab import crosstab, with_total_row
+from tillwise.operators.crosstab import crosstab, values_of, with_total_row
 from tillwise.operators.ranking import top_k
 from tillwise.tables import RetailTables
 
@@ -53,6 +53,9 @@ def by_city(t: RetailTables) -> DataFrame:
 
 
 def gender_by_city(t: RetailTables, cities=CITIES) -> DataFrame:
+    """Revenue by gender and city; ``cities=None`` takes those of the customer master."""
+    if cities is None:
+        cities = values_of(t.customers, "City_Category")
     return crosstab(t.sold_to(), "Gender", "City_Category", cities, "city_",
                     lambda where: m.revenue("x", where), "total_purchase").orderBy("Gender")
 
@@ -130,15 +133,14 @@ def by_stay(t: RetailTables) -> DataFrame:
 
 
 def stay_by_gender(t: RetailTables) -> DataFrame:
-    """Spending per customer, women against men, for the listed lengths of stay."""
+    """Spending per customer, women against men, by length of stay (unknown ones last)."""
     def per_customer(gender):
         cents = F.when(F.col("Gender") == gender, F.col("amount_cents"))
         who = F.when(F.col("Gender") == gender, F.col("Customer_ID"))
         return F.coalesce(mean_money(F.sum(cents), F.count_distinct(who)), F.lit(0).cast(MONEY))
 
     women, men = F.col("female"), F.col("male")
-    return (_stays(t).where(F.col("stay_duration").isin(STAY_YEARS))
-            .groupBy("stay_duration")
+    return (_stays(t).groupBy("stay_duration")
             .agg(per_customer("F").alias("female"), per_customer("M").alias("male"))
             .withColumn("difference", F.abs(men - women).cast(MONEY))
             .withColumn("higher_spender", larger_of(men, "Male", women, "Female"))
@@ -208,11 +210,14 @@ def top_occupation_categories(t: RetailTables, k: int = 10) -> DataFrame:
     return top_k(sales, [F.desc("total_sales"), "Occupation", "Product_Category"], k)
 
 
-def category_by_occupation(t: RetailTables, occupations=range(21), k: int = 5) -> DataFrame:
-    """Revenue matrix of the best-selling categories against occupations.
+def category_by_occupation(t: RetailTables, occupations=None, k: int = 5) -> DataFrame:
+    """Revenue matrix of the best-selling categories against occupations (None: those of the
+    customer master).
 
     Categories rank by revenue over all transactions, buyers known or not.
     """
+    if occupations is None:
+        occupations = values_of(t.customers, "Occupation")
     best = top_k(t.sold().groupBy("Product_Category").agg(m.revenue("sales")),
                  [F.desc("sales"), "Product_Category"], k)
     sales = t.sold_to().join(best.select("Product_Category"), "Product_Category", "left_semi")

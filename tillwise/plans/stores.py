@@ -13,6 +13,7 @@ from tillwise.tables import RetailTables
 STORE = ["storeID", "storeName"]
 SUPPLIER = ["supplierID", "supplierName"]
 PRODUCT = ["Product_ID", "Product_Category"]
+# Fixed value: the name of the stored view.
 QUARTERLY_VIEW = "STORE_QUARTERLY_SALES"
 
 
@@ -108,11 +109,6 @@ def describe(view: DataFrame, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "position int, column_name string, column_type string")
 
 
-def quarterly_view_schema(t: RetailTables) -> DataFrame:
-    view = store_quarters(t)
-    return describe(view, view.sparkSession)
-
-
 def quarterly_preview(t: RetailTables, k: int = 20) -> DataFrame:
     return store_quarters(t).limit(k)
 
