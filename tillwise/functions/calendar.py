@@ -21,13 +21,10 @@ def day_type(day: Column) -> Column:
 
 
 def season(month: Column) -> Column:
-    """March to May is spring, and so on by quarters; December to February is winter.
-
-    A missing month falls into the last bucket, as an ELSE branch would have it.
-    """
-    by_quarter_from_march = ((month + F.lit(9)) % F.lit(12) / F.lit(3)).cast("int")
-    names = F.array(*[F.lit(s) for s in SEASONS])
-    return F.coalesce(F.get(names, by_quarter_from_march), F.lit(SEASONS[-1]))
+    """March to May is spring, and so on; everything else, a missing month too, is winter."""
+    spring, summer, fall, winter = SEASONS
+    return (F.when(month.between(3, 5), spring).when(month.between(6, 8), summer)
+            .when(month.between(9, 11), fall).otherwise(winter))
 
 
 def month_start(day: Column) -> Column:

@@ -25,22 +25,24 @@ def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def with_order_counts(top: DataFrame, sales: DataFrame, keys: list[str],
+def with_order_counts(top: DataFrame, lines: DataFrame, keys: list[str],
                       name: str) -> DataFrame:
     """Count the distinct orders of the winners only.
 
     ``top`` holds at most k rows for each of a fixed number of groups. It is written
-    first, so the ranking runs once and Spark sees how small it is; the second look
-    at ``sales`` then shuffles the orders of those few rows, where counting for every
-    group would have shuffled all orders.
+    first, so the ranking runs once and Spark sees how small it is; the second look at
+    the bare ``lines`` then keeps those of the winners before anything else is joined or
+    shuffled. ``keys`` name the winners in ``lines``; the first is never null there.
     """
     top = written(top, "winners")
-    winners = top.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    counts = (sales.join(winners, same, "left_semi").groupBy(*keys)
+    winners = top.select(*[F.col(c).alias(f"_{c}") for c in keys]).distinct()
+    first, *others = keys
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in others],
+                  F.col(first) == F.col(f"_{first}"))
+    counts = (lines.join(winners, same, "left_semi").groupBy(*keys)
               .agg(F.count_distinct("orderID").alias(name))
-              .withColumnsRenamed({k: f"_{k}" for k in keys}))
-    return top.join(counts, same).drop(*[f"_{k}" for k in keys])
+              .withColumnsRenamed({c: f"_{c}" for c in keys}))
+    return top.join(counts, same).drop(*[f"_{c}" for c in keys])
 
 
 def numbered(top: DataFrame, order: list[Column], name: str) -> DataFrame:

@@ -22,11 +22,18 @@ def years(t: RetailTables) -> DataFrame:
     return t.transactions.select(year.alias("year")).distinct().orderBy("year")
 
 
-def _dated(t: RetailTables, year: int | None) -> DataFrame:
+def _by_day_type(t: RetailTables, year: int | None, monthly: bool = False) -> DataFrame:
+    """Sums per product and kind of day (and month); no single line meets the products."""
     day = F.col("order_date")
-    return t.sold(cal.year_condition(t.transactions, year)).withColumns({
-        "year": F.year(day), "month": F.month(day),
-        "month_start": cal.month_start(day), "day_type": cal.day_type(day)})
+    by = [cal.day_type(day).alias("day_type"),
+          *([cal.month_start(day).alias("month_start")] if monthly else [])]
+    return t.sold_by_product(PRODUCT, *by, where=cal.year_condition(t.transactions, year))
+
+
+def _winning_lines(t: RetailTables, year: int | None) -> DataFrame:
+    day = F.col("order_date")
+    return t.lines(cal.year_condition(t.transactions, year)).withColumns(
+        {"day_type": cal.day_type(day), "month_start": cal.month_start(day)})
 
 
 def _best_first(measure: str, *tie_breakers: str):
@@ -34,41 +41,44 @@ def _best_first(measure: str, *tie_breakers: str):
 
 
 def top_by_month_day_type(t: RetailTables, year: int | None = None, k: int = 5) -> DataFrame:
-    sales = _dated(t, year).groupBy("year", "month", "day_type", *PRODUCT).agg(
-        m.revenue("total_revenue"))
-    return (top_k_per_group(sales, ["year", "month", "day_type"],
+    sales = (_by_day_type(t, year, monthly=True)
+             .groupBy("month_start", "day_type", *PRODUCT).agg(m.revenue("total_revenue")))
+    return (top_k_per_group(sales, ["month_start", "day_type"],
                             _best_first("total_revenue", *PRODUCT), k, "rnk")
+            .select(F.year("month_start").alias("year"), F.month("month_start").alias("month"),
+                    "day_type", *PRODUCT, "total_revenue", "rnk")
             .orderBy("year", "month", F.desc("day_type"), "rnk"))
 
 
 def top_by_day_type(t: RetailTables, year: int | None = None, k: int = 5) -> DataFrame:
-    sales = _dated(t, year).groupBy("day_type", *PRODUCT).agg(m.revenue("total_revenue"))
+    sales = _by_day_type(t, year).groupBy("day_type", *PRODUCT).agg(m.revenue("total_revenue"))
     return (top_k_per_group(sales, ["day_type"], _best_first("total_revenue", *PRODUCT), k, "rnk")
             .orderBy(F.desc("day_type"), "rnk"))
 
 
 def month_day_type_detail(t: RetailTables, year: int | None = None, k: int = 5) -> DataFrame:
-    sales, keys = _dated(t, year), ["month_start", "day_type", *PRODUCT]
-    totals = sales.groupBy(*keys).agg(m.revenue("total_revenue"), m.units())
+    keys = ["month_start", "day_type", *PRODUCT]
+    totals = _by_day_type(t, year, monthly=True).groupBy(*keys).agg(
+        m.revenue("total_revenue"), m.units())
     top = top_k_per_group(totals, ["month_start", "day_type"],
                           _best_first("total_revenue", *PRODUCT), k, "revenue_rank")
-    return (with_order_counts(top, sales, keys, "order_count")
+    return (with_order_counts(top, _winning_lines(t, year), ["Product_ID", "month_start", "day_type"],
+                              "order_count")
             .orderBy("month_start", F.desc("day_type"), "revenue_rank")
             .select(cal.month_label(F.col("month_start")).alias("month_year"), "day_type", "revenue_rank", *PRODUCT, "total_revenue",
                     "total_quantity", "order_count"))
 
 
 def day_type_leaders(t: RetailTables, year: int | None = None, k: int = 10) -> DataFrame:
-    sales, keys = _dated(t, year), ["day_type", *PRODUCT]
-    totals = sales.groupBy(*keys).agg(m.revenue("total_revenue"))
+    totals = _by_day_type(t, year).groupBy("day_type", *PRODUCT).agg(m.revenue("total_revenue"))
     top = top_k_per_group(totals, ["day_type"], _best_first("total_revenue", *PRODUCT), k, "rn")
-    return (with_order_counts(top, sales, keys, "total_orders")
+    return (with_order_counts(top, _winning_lines(t, year), ["Product_ID", "day_type"], "total_orders")
             .orderBy(F.desc("day_type"), "rn").drop("rn"))
 
 
 def day_type_gap(t: RetailTables, year: int | None = None, k: int = 10) -> DataFrame:
     weekend = F.col("day_type") == cal.WEEKEND
-    sales = _dated(t, year).groupBy(*PRODUCT).agg(
+    sales = _by_day_type(t, year).groupBy(*PRODUCT).agg(
         m.revenue("weekend_revenue", weekend), m.revenue("weekday_revenue", ~weekend),
         m.revenue("total_revenue"))
     gap = F.abs(F.col("weekend_revenue") - F.col("weekday_revenue"))

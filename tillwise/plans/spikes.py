@@ -65,7 +65,8 @@ def _top_spikes(t: RetailTables, k: int) -> DataFrame:
 
 
 def spikes(t: RetailTables, k: int = 50) -> DataFrame:
-    return (with_order_counts(_top_spikes(t, k), t.sold(), SPIKE_DAY, "daily_orders")
+    return (with_order_counts(_top_spikes(t, k), t.lines(), ["Product_ID", "order_date"],
+                              "daily_orders")
             .orderBy(*_order())
             .select(*SPIKE_DAY, cal.day_name(F.col("order_date")).alias("day_of_week"),
                     "daily_revenue", "daily_quantity", "daily_orders",
