@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tillwise.operators.keys import with_surrogate_key
 from tillwise.plans import star, warehouse
+from tillwise.tables import RetailTables
 
 
 def rows(df):
@@ -47,6 +48,24 @@ def test_orphans_are_counted_and_dropped(shop, tmp_path):
     assert warehouse.build(t, str(tmp_path)).fact_sales.count() == 1
 
 
+def test_fact_keys_do_not_depend_on_partitions_or_joins(shop, tmp_path, spark):
+    lines = [(i % 50, i % 4 + 1, "P1", 1 + i % 3, "2020-01-04") for i in range(400)] * 2
+    t = shop.tables(lines)
+    first = warehouse.build(t, str(tmp_path / "a")).fact_sales
+    before = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        again = RetailTables(t.customers, t.products, t.transactions.repartition(7))
+        second = warehouse.build(again, str(tmp_path / "b")).fact_sales
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert sorted(map(str, rows(first))) == sorted(map(str, rows(second.select(*first.columns))))
+    assert first.select("sales_key").distinct().count() == first.count() == 800
+
+
 def test_key_report_and_view(shop, tmp_path, spark):
     w = warehouse.build(shop.tables(LINES), str(tmp_path))
     report = {r.table_name: r for r in warehouse.key_report(w).collect()}

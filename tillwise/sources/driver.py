@@ -15,6 +15,7 @@ CITIES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 OCCUPATIONS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
+LINES = 1000
 # Columns the adapter reads from each generated table.
 COLUMNS = {
     "region": "r_regionkey int, r_name string",
@@ -23,7 +24,7 @@ COLUMNS = {
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
     "part": "p_partkey bigint, p_type string, p_retailprice double",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double",
 }
 
 
@@ -71,7 +72,8 @@ def product_master(part: DataFrame, supplier: DataFrame, nation: DataFrame) -> D
 def transactions(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     return (lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
-                F.lit(None).cast("bigint").alias("row_index"),
+                # an order has fewer than LINES lines
+                (F.col("l_orderkey") * LINES + F.col("l_linenumber")).alias("row_index"),
                 F.col("l_orderkey").alias("orderID"),
                 F.col("o_custkey").alias("Customer_ID"),
                 product_id(F.col("l_partkey")).alias("Product_ID"),

@@ -69,19 +69,17 @@ def read_tables(spark: SparkSession, customers: str = "customer_master",
     return RetailTables(spark.table(customers), spark.table(products), spark.table(transactions))
 
 
-def read_jdbc(spark: SparkSession, url: str, properties: dict | None = None,
-              transaction_partitions: int = 64,
-              bounds: tuple[int, int] | None = None) -> RetailTables:
-    """Tables of a database; the transactions are split by order id over ``bounds``."""
+def read_jdbc(spark: SparkSession, url: str, bounds: tuple[int, int],
+              properties: dict | None = None, transaction_partitions: int = 64) -> RetailTables:
+    """Tables of a database; the transactions are split by order id over ``bounds``, so no
+    task reads them all."""
     def table(name, **split):
         return spark.read.jdbc(url, name, properties=properties or {}, **split)
 
-    split = {}
-    if bounds:
-        split = {"column": "orderID", "lowerBound": bounds[0], "upperBound": bounds[1],
-                 "numPartitions": transaction_partitions}
-    return RetailTables(table("customer_master"), table("product_master"),
-                        table("transactional_data", **split))
+    return RetailTables(
+        table("customer_master"), table("product_master"),
+        table("transactional_data", column="orderID", lowerBound=bounds[0], upperBound=bounds[1],
+              numPartitions=transaction_partitions))
 
 
 def write_staging(t: RetailTables, folder: str) -> RetailTables:
