@@ -89,7 +89,7 @@ def test_unmatched_rows_are_dropped_reported_and_do_not_block(spark, tmp_path):
         (1, 5, "P00069042", 1, "2020-01-01"), (2, 1000001, "P0", 1, "2020-01-01"),
         (3, 5, "P0", 1, "2020-01-01")])
     assert run(spark, tmp_path, rejected=str(tmp_path / "rejected")).count() == 1
-    rejected = enrichment.read_enriched(spark, str(tmp_path / "rejected"))
+    rejected = enrichment.read_rejected(spark, str(tmp_path / "rejected"))
     assert {(r.orderID, r.missing) for r in rejected.collect()} == {
         (1, "customer"), (2, "product"), (3, "customer and product")}
     lines = files.csv_by_position(spark, str(tmp_path / "in"), schemas.TRANSACTIONS)
@@ -111,8 +111,8 @@ def test_empty_sink_is_created_once_and_rows_are_counted(spark, tmp_path):
     write_lines(tmp_path / "in", "a.csv", LINES)
     customers, products = masters(spark)
     stream = files.csv_stream(spark, str(tmp_path / "in"))
-    query = enrichment.run_to_end(stream, customers, products, str(tmp_path / "out"),
-                                  str(tmp_path / "checkpoint"))
+    enrichment.run_to_end(stream, customers, products, str(tmp_path / "out"),
+                          str(tmp_path / "checkpoint"))
     enrichment.create_sink(spark, str(tmp_path / "out"))
-    assert enrichment.received(query) == 5
+    assert tuple(enrichment.counts(spark, str(tmp_path / "out")).first()) == (5, 5, 0)
     assert enrichment.read_enriched(spark, str(tmp_path / "out")).count() == 5

@@ -5,16 +5,22 @@ execution broadcasts a master that is small and splits hot customers when it is
 not. A batch overwrites its own folder: a batch that runs again after a failure
 replaces its rows instead of adding them, and the checkpoint makes it run again
 with the same input. Joining needs no state.
+
+After its rows a batch writes one row of counts next to them. That row says that the batch
+is finished: readers take the rows of such batches only.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwise import schemas
-from tillwise.plans.enriched import enrich, unmatched
+from tillwise.plans.enriched import enrich, enrichment_counts, unmatched
 
 BATCH = "batch_id"
+EMPTY_BATCH = -1
+COUNTS = "received long, joined long, dropped long"
 
 
 def to_table_rows(rows: DataFrame) -> DataFrame:
@@ -25,6 +31,11 @@ def to_table_rows(rows: DataFrame) -> DataFrame:
             .select(*columns))
 
 
+def _finish(spark: SparkSession, sink: str, batch_id: int, row: tuple) -> None:
+    (spark.createDataFrame([row], COUNTS).coalesce(1)
+     .write.mode("overwrite").parquet(f"{sink}-counts/{BATCH}={batch_id}"))
+
+
 def start(transactions: DataFrame, customers: DataFrame, products: DataFrame, sink: str,
           checkpoint: str, interval: str | None = None,
           rejected: str | None = None) -> StreamingQuery:
@@ -33,12 +44,20 @@ def start(transactions: DataFrame, customers: DataFrame, products: DataFrame, si
     Without ``interval`` the query takes everything available and stops; with one
     it keeps running. Dropped rows go to ``rejected`` when that is given.
     """
+    spark = transactions.sparkSession
+    nothing = spark.createDataFrame([], transactions.schema)
+    create_sink(spark, sink, to_table_rows(enrich(nothing, customers, products)).schema)
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read once, though rows, rejects and their number need it
         rows = to_table_rows(enrich(batch, customers, products))
         rows.write.mode("overwrite").parquet(f"{sink}/{BATCH}={batch_id}")
         if rejected:
             dropped = unmatched(batch, customers, products)
             dropped.write.mode("overwrite").parquet(f"{rejected}/{BATCH}={batch_id}")
+        counted = enrichment_counts(batch, customers, products).first()
+        _finish(batch.sparkSession, sink, batch_id, tuple(counted))
+        batch.unpersist()
 
     writer = transactions.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
@@ -51,16 +70,31 @@ def run_to_end(*args, **kwargs) -> StreamingQuery:
     return query
 
 
-def received(query: StreamingQuery) -> int:
-    """Stream rows taken in by the batches whose progress Spark still keeps."""
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+def create_sink(spark: SparkSession, sink: str,
+                schema: T.StructType = schemas.ENRICHED) -> None:
+    """An empty enriched table, unless the sink already exists."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").parquet(f"{sink}/{BATCH}={EMPTY_BATCH}")
+    (spark.createDataFrame([(0, 0, 0)], COUNTS).coalesce(1)
+     .write.mode("ignore").parquet(f"{sink}-counts/{BATCH}={EMPTY_BATCH}"))
+
 
+def batches(spark: SparkSession, sink: str) -> DataFrame:
+    """(batch_id, received, joined, dropped) of every finished batch."""
+    return spark.read.schema(f"{COUNTS}, {BATCH} long").parquet(f"{sink}-counts")
 
-def create_sink(spark: SparkSession, sink: str) -> None:
-    """An empty enriched table, unless the sink already exists."""
-    empty = spark.createDataFrame([], schemas.ENRICHED)
-    empty.write.mode("ignore").parquet(f"{sink}/{BATCH}=-1")
+
+def counts(spark: SparkSession, sink: str) -> DataFrame:
+    """Rows received, joined and dropped by all finished batches."""
+    return batches(spark, sink).agg(*[F.sum(c).alias(c) for c in ("received", "joined", "dropped")])
 
 
 def read_enriched(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.option("basePath", sink).parquet(sink).drop(BATCH)
+    """The rows of finished batches."""
+    rows = (spark.read.option("basePath", sink).parquet(sink)
+            .withColumn(BATCH, F.col(BATCH).cast("long")))
+    return rows.join(batches(spark, sink).select(BATCH), BATCH, "left_semi").drop(BATCH)
+
+
+def read_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.option("basePath", folder).parquet(folder).drop(BATCH)
