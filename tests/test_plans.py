@@ -79,3 +79,13 @@ def test_hot_customer_is_split_when_masters_are_too_large_to_broadcast(spark, sh
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     women = sum(1 for i in range(300_000) if i % 3 == 0 or (i % 997 + 2) % 2)
     assert got == {"F": women, "M": 300_000 - women}
+
+
+@pytest.mark.parametrize("name", ["d01_top5_products", "d05_top5_occ_category", "d13_store_supplier_category",
+                                  "d17_rollup", "d19_daily_flag"])
+def test_the_fact_is_added_up_before_it_meets_a_dimension(spark, name):
+    lines = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(lines) if "Relation" in line and "product_key" in line
+              and "revenue" in line)
+    above = next(line for line in reversed(lines[:at]) if "Join " in line or "Aggregate " in line)
+    assert "Aggregate " in above

@@ -22,11 +22,21 @@ PRODUCT = ["product_id", "product_category"]
 DEMOGRAPHIC_YEAR, GROWTH_YEAR, RECENT_YEAR, AFTER_MONTH = 2015, 2016, 2017, 7
 
 
-def _facts(w: Warehouse, *dims: str, year: int | None = None) -> DataFrame:
-    facts = w.fact_sales.withColumn("cents", to_cents(F.col("revenue")))
+def _facts(w: Warehouse, *dims: str, year: int | None = None,
+           also: tuple[str, ...] = ()) -> DataFrame:
+    """Cents, units and lines per combination of the ``dims`` (and ``also``), with their columns.
+
+    The fact is added up under the surrogate keys before it meets a dimension, so a product or
+    customer with a third of all lines is one row per task and key when it is shuffled.
+    """
+    facts = w.fact_sales
     if year is not None:
         # the fact is stored by year, so this drops whole folders
         facts = facts.where(F.col(FACT_PARTITION) == year)
+    facts = (facts.withColumn("cents", to_cents(F.col("revenue")))
+             .groupBy(*[f"{dim}_key" for dim in dims], *also)
+             .agg(F.sum("cents").alias("cents"), F.count("cents").alias("lines"),
+                  F.sum(F.col("quantity").cast("bigint")).alias("quantity")))
     for dim in dims:
         facts = facts.join(w.tables()[f"dim_{dim}"], f"{dim}_key")
     return facts
@@ -71,7 +81,7 @@ def city_marital(w: Warehouse, year: int = RECENT_YEAR, after_month: int = AFTER
 
 
 def mean_by_stay_gender(w: Warehouse) -> DataFrame:
-    mean = mean_money_fine(F.sum("cents"), F.count("cents")).alias("avg_purchase_amount")
+    mean = mean_money_fine(F.sum("cents"), F.sum("lines")).alias("avg_purchase_amount")
     return _facts(w, "customer").groupBy("stay_years", "gender").agg(mean)
 
 
@@ -159,13 +169,13 @@ def product_halves(w: Warehouse) -> DataFrame:
     return (_facts(w, "product", "date").groupBy(*PRODUCT)
             .agg(_sum("first_half_revenue", month.between(1, 6)),
                  _sum("second_half_revenue", month.between(7, 12)),
-                 F.sum(F.col("quantity").cast("bigint")).alias("total_quantity")))
+                 F.sum("quantity").alias("total_quantity")))
 
 
 def daily_flag(w: Warehouse) -> DataFrame:
     """Product totals against twice their average selling day."""
     mean = F.round(F.try_divide(F.col("total_sales"), F.col("no_of_days")), 3)
-    return (_facts(w, "product").groupBy("product_id")
+    return (_facts(w, "product", also=("date_key",)).groupBy("product_id")
             .agg(_sum("total_sales"), F.count_distinct("date_key").alias("no_of_days"))
             .withColumn("avg_daily_sales", mean.cast("decimal(24,3)"))
             .withColumn("twice_daily_avg_sales",
