@@ -233,9 +233,13 @@ def extract(html: list[str], trees: boosting.Trees, nodes_at_once: int = 20_000)
 
 
 def sample(pages: DataFrame, size: int = TRAIN_PAGES) -> list[str]:
+    """The ``size`` pages whose ids hash lowest. Tasks send hashes first, and pages only then."""
     rows = (pages.where(F.col("html").isNotNull() & (F.length("html") <= TRAIN_CHARS))
-            .select("html", F.xxhash64("page_id", "html").alias("h")).orderBy("h").limit(size))
-    return [r["html"] for r in rows.select("html").collect()]
+            .select("html", F.xxhash64("page_id", "html").alias("h")))
+    last = rows.select("h").orderBy("h").limit(size).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    return [r["html"] for r in rows.where(F.col("h") <= last).orderBy("h").limit(size).collect()]
 
 
 def main_text(pages: DataFrame, size: int = TRAIN_PAGES) -> DataFrame:
