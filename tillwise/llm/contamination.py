@@ -25,14 +25,13 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm.passages import Rolling
-from tillwise.llm.tables import table
+from tillwise.llm.tables import filtered, table
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -202,19 +201,17 @@ def clean(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> D
     if benchmark.isEmpty():
         return docs
     for items in item_blocks(benchmark):
-        docs = docs.where(_untouched(docs.sparkSession, items, least)("text"))
+        docs = filtered(docs, _untouched(docs.sparkSession, items, least))
     return docs
 
 
 def _untouched(spark: SparkSession, items: Items, least: float):
     shared = spark.sparkContext.broadcast(items)
 
-    @F.pandas_udf("boolean")
-    def untouched(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def passes():
         rolling = Rolling(_BASE)
-        for batch in texts:
-            yield batch.map(lambda t: not matches(t, shared.value, rolling, least)).astype(bool)
-    return untouched
+        return lambda text: not matches(text, shared.value, rolling, least)
+    return passes
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

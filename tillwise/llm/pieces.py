@@ -28,13 +28,13 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm.tables import table
+from tillwise.llm.tables import sliced, table
 from tillwise.llm.vocabulary import vocabulary_path
 
 SPACE = "▁"  # fixed value: the vocabulary's sign for a space
 UNKNOWN = 10.0
 _PART = re.compile(f"\n+|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
-_REMEMBERED, _SHORT = 300_000, 48
+_REMEMBERED, _SHORT = 60_000, 48
 
 
 class Pieces:
@@ -113,7 +113,7 @@ def pieces_of(path: str) -> Pieces:
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = pieces_of(path)
-    for batch in batches:
+    for batch in sliced(batches):
         ids, ends, back = array("i"), [0], []
         for value in batch.column("text"):
             text = value.as_py() or ""
@@ -138,7 +138,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) per row of ``encoded`` (doc_id, ids); null ids give an empty text."""
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces_of(path)
-        for batch in batches:
+        for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(
                     [model.decode(x.as_py() or []) for x in batch.column("ids")], pa.string())],

@@ -23,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm.tables import keep, table
+from tillwise.llm.tables import filtered, keep, sliced, table
 from tillwise.llm.words import word_blocks
 
 TRAIN_ROWS = 20_000
@@ -86,11 +87,14 @@ def statistics(text: str | None) -> list[float]:
 
 def with_statistics(docs: DataFrame) -> DataFrame:
     """(doc_id, stats) of every row."""
-    @F.pandas_udf("array<float>")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield batch.map(statistics)
-    return docs.select("doc_id", of("text").alias("stats"))
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(
+                    [statistics(t.as_py()) for t in batch.column("text")], pa.list_(pa.float32()))],
+                names=["doc_id", "stats"])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(of, f"doc_id {kind}, stats array<float>")
 
 # ---- model ----------------------------------------------------------------------------
 
@@ -217,17 +221,14 @@ def scored(docs: DataFrame, labels: DataFrame, label: str = "quality",
 def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality",
              threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``threshold``."""
-    spark = docs.sparkSession
     stats = keep(with_statistics(docs.select("doc_id", "text")), "statistics")
-    shared = spark.sparkContext.broadcast(fit(stats, labels, label))
-
-    @F.pandas_udf("boolean")
-    def good(texts: pd.Series) -> pd.Series:
-        if not len(texts):
-            return pd.Series([], dtype=bool)
-        return pd.Series(shared.value.scores(np.array(
-            [np.float32(statistics(t)) for t in texts], float)) >= threshold)
-    return docs.where(good("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(stats, labels, label))
+
+    def passes():
+        model = shared.value
+        return lambda text: bool(model.scores(
+            np.array([np.float32(statistics(text))], float))[0] >= threshold)
+    return filtered(docs, passes)
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,13 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.llm.components import components
-from tillwise.llm.tables import fresh, keep, table
+from tillwise.llm.tables import fresh, keep, sliced, table
 from tillwise.llm.words import shingles
 
 SHINGLE_WORDS = 4
@@ -56,12 +57,15 @@ def fingerprint(text: str | None, n: int = SHINGLE_WORDS) -> int:
 def fingerprints(docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, copy, fingerprint) of every row; ``copy`` is a hash of the text, and the
     fingerprint a signed 64-bit integer."""
-    @F.pandas_udf("long")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series(np.array([fingerprint(t, n) for t in batch], np.uint64).view(np.int64))
-    return docs.select("doc_id", F.xxhash64("text").alias("copy"),
-                       of("text").alias("fingerprint"))
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            found = np.array([fingerprint(t.as_py(), n) for t in batch.column("text")], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("copy"), pa.array(found.view(np.int64))],
+                names=["doc_id", "copy", "fingerprint"])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(
+        of, f"doc_id {kind}, copy long, fingerprint long")
 
 # ---- keys -----------------------------------------------------------------------------
 

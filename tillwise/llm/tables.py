@@ -1,5 +1,8 @@
 """Reading the input tables, and tables written between steps."""
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.session import working_folder
@@ -27,3 +30,19 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name)
         found.append(name)
     return found
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so a task holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def filtered(docs: DataFrame, passes: Callable[[], Callable[[str | None], bool]]) -> DataFrame:
+    """The rows of ``docs`` whose text passes. ``passes`` makes the test once per task."""
+    def keep_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = passes()
+        for batch in sliced(batches):
+            yield batch.filter(pa.array([test(t.as_py()) for t in batch.column("text")], pa.bool_()))
+    return docs.mapInArrow(keep_rows, docs.schema)
