@@ -208,7 +208,12 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, radius: int = RADIU
     named by one of its fingerprints, its id is the smallest doc_id reachable by links."""
     found = keep(fingerprints(docs, n), "fingerprints")
     prints = keep(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "prints")
-    groups = components(links(prints.select("fingerprint"), radius))
+    return grouped(found, prints, components(links(prints.select("fingerprint"), radius)))
+
+
+def grouped(found: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows (doc_id, copy, fingerprint) with their component. ``prints``: each fingerprint and its
+    smallest id; ``groups``: (node, component) of linked ones."""
     member = keep(prints.join(groups, prints["fingerprint"] == groups["node"], "left").select(
         "fingerprint", "first_id",
         F.coalesce("component", "fingerprint").alias("component")), "members")
@@ -222,8 +227,13 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, radius: int = RADIU
 def keep_one(docs: DataFrame, n: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component one row with the smallest
     id stays (of several, the one whose text and then whose other columns hash lowest)."""
+    return one_of_each(docs, near_duplicates(docs, n, radius))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component of ``found``."""
     text, nth, first_id, first_copy = fresh(docs, "text_hash", "nth", "first_id", "first_copy")
-    winners = (near_duplicates(docs, n, radius).where("doc_id <=> component_id")
+    winners = (found.where("doc_id <=> component_id")
                .groupBy("component").agg(F.min(F.struct("doc_id", "copy")).alias("w"))
                .select(F.col("w.doc_id").alias(first_id), F.col("w.copy").alias(first_copy)))
     rows = docs.withColumn(text, F.xxhash64("text"))
