@@ -99,3 +99,16 @@ def test_boosting_learns_an_interaction():
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.4)).astype(float)
     trees = boosting.fit(x[:2000], y[:2000], np.ones(2000))
     assert ((trees.chance(x[2000:]) > 0.5) == y[2000:]).mean() > 0.95
+
+
+def test_a_head_ends_without_its_end_tag(trees):
+    article = "<article><h1>A title</h1><p>Words of the text follow, and some more of them do.</p></article>"
+    want = "A title\nWords of the text follow, and some more of them do."
+    for source in (f"<html><head><title>x</title><body>{article}</body></html>",
+                   f"<html><head><title>x</title>{article}</html>",
+                   f"<head><meta charset=utf-8><script>var a = 1</script>\n{article}",
+                   f"<html><head><title>x<body>{article}",
+                   f"<html><head><noscript><p>no</p></noscript><title>x</title></head><body>{article}"):
+        assert html_text.extract([source], trees) == [want]
+    page = dom.Page("<html><head><title>x</title>bare text")
+    assert dom.text_of(page, np.ones(len(page.tags), bool)) == "bare text"

@@ -13,6 +13,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # elements whose text is never shown as text of the page
 UNSEEN = frozenset("""head script style noscript template title iframe object svg math canvas audio
 video select option optgroup datalist textarea button""".split())
+# what may stand in a head: any other element, and text, ends it
+_IN_HEAD = frozenset("""html head base basefont bgsound link meta title style script noscript noframes
+template""".split())
 # inline elements that are no nodes of their own: their text belongs to the element around
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark
 q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input""".split())
@@ -67,7 +70,13 @@ class Page(HTMLParser):
             if tag in scope:
                 return
 
+    def _end_head(self) -> None:
+        self._pop_to(next(at for at, o in enumerate(self.open) if o[0] == "head"))
+
     def handle_starttag(self, tag, attrs):
+        if (self.open[-1][0] == "head" and tag not in _IN_HEAD) or (
+                tag == "body" and any(o[0] == "head" for o in self.open)):
+            self._end_head()
         if tag in BLOCKS:
             self.events.append(None)
             self._end_open({"p"}, _SCOPE)
@@ -107,6 +116,8 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.open[-1][0] == "head" and not data.isspace():
+            self._end_head()
         if not self.unseen:
             tag, node, link = self.open[-1]
             if tag in ("td", "th"):
