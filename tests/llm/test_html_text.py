@@ -112,3 +112,15 @@ def test_a_head_ends_without_its_end_tag(trees):
         assert html_text.extract([source], trees) == [want]
     page = dom.Page("<html><head><title>x</title>bare text")
     assert dom.text_of(page, np.ones(len(page.tags), bool)) == "bare text"
+
+
+def test_input_pages_give_no_marks():
+    """``data-main`` of an input page is an attribute like any other."""
+    plain = "<html><body><nav><p>Home</p></nav><article><p>Words of the text.</p></article></body></html>"
+    for mark in ("scripts/main", "0", "1"):
+        marked = plain.replace("<nav>", f"<script data-main='{mark}'></script><nav data-main='{mark}'>").replace(
+            "<article>", f"<article data-main='{mark}'>")
+        page = dom.Page(marked)
+        known = html_text.known_nodes(page)
+        assert html_text.blocks_of(page, known, 1.0) == ["Words of the text."]
+        assert html_text.blocks_of(page, known, 0.0) == ["Home"]

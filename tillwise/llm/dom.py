@@ -45,7 +45,7 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.tokens = ["#root"], [-1], [()]
-        self.marks: list[str | None] = [None]  # of training pages: whether a node is main text
+        self.marks: list[str | None] = [None]  # of made pages: whether a node is main text
         self.events: list[tuple[int, str, bool] | None] = []
         self.open: list[tuple[str, int, bool]] = [("#root", 0, False)]  # tag, node, link
         self.unseen = 0

@@ -36,14 +36,12 @@ _SEED = 1
 
 
 def known_nodes(page: Page) -> list[float | None]:
-    """1 for main text, 0 for what is around it, None where unknown: from marks of training pages, or
-    from the elements and attributes that say so."""
+    """1 for main text, 0 for what is around it, None where unknown, from the elements
+    and attributes that say so. Marks are read from made pages only (``_inherited``)."""
     known: list[float | None] = []
     for i, (tag, parent) in enumerate(zip(page.tags, page.parents, strict=True)):
         above = known[parent] if i else None
-        if page.marks[i] is not None:
-            known.append(float(page.marks[i]))
-        elif above == 0.0 or tag in ("nav", "aside", "footer", "form") or any(
+        if above == 0.0 or tag in ("nav", "aside", "footer", "form") or any(
                 t in ABOUT_REST for t in page.tokens[i]):
             known.append(0.0)
         else:
