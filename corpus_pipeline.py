@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import contamination, pieces, quality, secrets, similar
+from tillwise.llm import contamination, pieces, quality, secrets, simhash
 from tillwise.llm.tables import keep, table
 from tillwise.llm.vocabulary import vocabulary_path
 from tillwise.session import working_folder
@@ -18,8 +18,8 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return similar.keep_one(docs)
+    """One document of each group of near-duplicates stays: four-word shingles, four bits at most."""
+    return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
