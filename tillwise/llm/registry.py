@@ -1,6 +1,7 @@
 """The queries of this subpackage and the SQL that checks them."""
 
-from tillwise.llm import chat, contamination, html_text, passages, pieces, quality, secrets, simhash, token_counts, vectors
+from tillwise.llm import (chat, contamination, html_text, negatives, passages, pieces, quality, secrets, simhash,
+                          token_counts, vectors)
 
 QUERIES = {
     "op1_html_extraction": html_text.op1_html_extraction,
@@ -13,10 +14,12 @@ QUERIES = {
     "op5_token_counts": token_counts.op5_token_counts,
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op10_secret_scans": secrets.op10_secret_scans,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
 SQL = {
     "op4_embedding_near_dedup": vectors.OP4_SQL,
     "op9_substring_dedup": passages.OP9_SQL,
     "op10_secret_scans": secrets.OP10_SQL,
+    "op13_hard_negatives": negatives.OP13_SQL,
 }
