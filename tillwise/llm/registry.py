@@ -1,7 +1,7 @@
 """The queries of this subpackage and the SQL that checks them."""
 
-from tillwise.llm import (chat, contamination, html_text, negatives, passages, pieces, quality, secrets, simhash,
-                          token_counts, vectors)
+from tillwise.llm import (chat, contamination, html_text, negatives, packing, passages, pieces, quality, secrets,
+                          simhash, token_counts, vectors)
 
 QUERIES = {
     "op1_html_extraction": html_text.op1_html_extraction,
@@ -14,6 +14,7 @@ QUERIES = {
     "op5_token_counts": token_counts.op5_token_counts,
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op10_secret_scans": secrets.op10_secret_scans,
+    "op11_best_fit_packing": packing.op11_best_fit_packing,
     "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
