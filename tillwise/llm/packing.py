@@ -47,7 +47,7 @@ CAPACITY = 4096
 SHARD = 4096  # pieces that a shard of the first round gets, about
 FAN = 16  # shards that hand pieces to one of the next round
 RELEASED = 4096  # pieces that a shard hands on, at most
-_REMEMBERED = 200_000
+_REMEMBERED = 500_000  # of each kind, about 100 MB a generation
 _END = END.to_bytes(4, "little")
 TOGETHER = 1 << 20  # bytes of text
 _PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
