@@ -1,7 +1,7 @@
 """The queries of this subpackage and the SQL that checks them."""
 
 from tillwise.llm import (chat, contamination, html_text, negatives, packing, passages, pieces, quality, secrets,
-                          simhash, token_counts, vectors)
+                          simhash, token_counts, trie, vectors)
 
 QUERIES = {
     "op1_html_extraction": html_text.op1_html_extraction,
@@ -15,6 +15,7 @@ QUERIES = {
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op10_secret_scans": secrets.op10_secret_scans,
     "op11_best_fit_packing": packing.op11_best_fit_packing,
+    "op12_prefix_trie": trie.op12_prefix_trie,
     "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
@@ -22,5 +23,6 @@ SQL = {
     "op4_embedding_near_dedup": vectors.OP4_SQL,
     "op9_substring_dedup": passages.OP9_SQL,
     "op10_secret_scans": secrets.OP10_SQL,
+    "op12_prefix_trie": trie.OP12_SQL,
     "op13_hard_negatives": negatives.OP13_SQL,
 }
