@@ -34,7 +34,7 @@ from tillwise.llm.vocabulary import vocabulary_path
 SPACE = "▁"  # fixed value: the vocabulary's sign for a space
 UNKNOWN = 10.0
 _PART = re.compile(f"\n+|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
-_REMEMBERED, _SHORT = 60_000, 48
+_REMEMBERED, _SHORT = 150_000, 48
 
 
 class Pieces:
@@ -57,7 +57,9 @@ class Pieces:
             self.bytes[i] = model.id_to_piece(i).replace(SPACE, " ").encode()
         for b, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([b])
-        self.known: dict[str, array] = {}
+        self.known: dict[str, bytes] = {}  # two generations
+        self.before: dict[str, bytes] = {}
+        self.unfaithful: set[str] = set()
 
     def _best(self, part: str) -> array:
         """Viterbi over one part, whose spaces are replaced."""
@@ -83,22 +85,39 @@ class Pieces:
             at -= last_size[at]
         return array("i", reversed(ids))
 
-    def encode(self, text: str | None) -> array:
-        ids = array("i")
+    def _learn(self, parts: set[str]) -> dict[str, bytes]:
+        """Ids of parts that are not known. Long ones are not remembered; they come back."""
+        if len(self.known) > _REMEMBERED:
+            self.known, self.before = {}, self.known
+        long = {}
+        for part in parts.difference(self.known):
+            ids = self.before.get(part)
+            if ids is None:
+                ids = self._best(part).tobytes()
+                if b"".join([self.bytes[i] for i in memoryview(ids).cast("i")]) != part.replace(
+                        SPACE, " ").encode("utf-8", "surrogatepass"):
+                    self.unfaithful.add(part)
+            (self.known if len(part) <= _SHORT else long)[part] = ids
+        return long
+
+    def encoded(self, text: str | None) -> tuple[bytes, bool]:
+        """The ids of a text as 32-bit numbers, and whether they decode to it. Decoding joins what the
+        parts decode to, so each distinct part is decoded once, when it is learnt."""
         if not text:
-            return ids
+            return b"", True
+        parts = _PART.findall(SPACE + text.replace(" ", SPACE))
+        distinct = set(parts)
         known = self.known
-        for match in _PART.finditer(SPACE + text.replace(" ", SPACE)):
-            part = match.group()
-            found = known.get(part)
-            if found is None:
-                found = self._best(part)
-                if len(part) <= _SHORT:
-                    if len(known) >= _REMEMBERED:
-                        known.clear()
-                    known[part] = found
-            ids.extend(found)
-        return ids
+        if not distinct <= known.keys():
+            long = self._learn(distinct)
+            # a new generation may have begun, and long parts are in none
+            known = {p: self.known.get(p) or long[p] for p in distinct} if (
+                long or known is not self.known) else known
+        faithful = not self.unfaithful or self.unfaithful.isdisjoint(distinct)
+        return b"".join(map(known.__getitem__, parts)), faithful
+
+    def encode(self, text: str | None) -> array:
+        return array("i", self.encoded(text)[0])
 
     def decode(self, ids) -> str:
         data = b"".join(map(self.bytes.__getitem__, ids))
@@ -114,13 +133,12 @@ def pieces_of(path: str) -> Pieces:
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = pieces_of(path)
     for batch in sliced(batches):
-        ids, ends, back = array("i"), [0], []
-        for value in batch.column("text"):
-            text = value.as_py() or ""
-            own = model.encode(text)
-            ids.extend(own)
-            ends.append(len(ids))
-            back.append(model.decode(own) == text.replace(SPACE, " "))
+        ids, ends, back = bytearray(), [0], []
+        for text in batch.column("text"):
+            own, faithful = model.encoded(text.as_py())
+            ids += own
+            ends.append(len(ids) // 4)
+            back.append(faithful)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()),
              pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
