@@ -400,7 +400,7 @@ def statements(full_year: int) -> dict[str, str]:
                count(DISTINCT Product_ID) AS products_sold,
                count(DISTINCT supplierID) AS suppliers_involved
         FROM sold GROUP BY storeID, storeName, y, qtr)"""
-    found["q20_store_quarterly"] = view + " SELECT * FROM view"
+    found["q20_store_quarterly"] = found["q20_stored_quarters"] = view + " SELECT * FROM view"
     found["q20_preview"] = view + """ SELECT * FROM view
       ORDER BY storeName, sales_year, sales_quarter, storeID LIMIT 20"""
     found["q20_store_totals"] = view + """

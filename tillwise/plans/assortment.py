@@ -128,9 +128,11 @@ def top_cities_per_category(t: RetailTables, k: int = 5) -> DataFrame:
 
 
 def city_summary(t: RetailTables) -> DataFrame:
-    cities = t.sold_to().groupBy("City_Category").agg(
-        m.distinct("Product_Category", "categories_sold"), m.buyers(), m.orders(),
-        m.revenue("total_revenue"), m.mean_amount())
+    counts = m.counted_lines(
+        t.sold_to(), ["City_Category"],
+        categories_sold="Product_Category", unique_customers="Customer_ID", total_orders="orderID")
+    cities = counts.select("City_Category", "categories_sold", "unique_customers", "total_orders",
+                           m.added_revenue("total_revenue"), m.added_mean())
     table = with_total_row(cities, "City_Category", ["total_revenue"])
     # the window spans one row per city
     everything = F.max(F.when(F.col("is_total"), F.col("total_revenue"))).over(W.partitionBy())

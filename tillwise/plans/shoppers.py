@@ -27,9 +27,9 @@ def stay_order(column: str = "stay_duration"):
 
 def spending_profile(sales: DataFrame, key, total: str = "total_purchase") -> DataFrame:
     """Customers, orders, revenue, revenue per line and per customer by one attribute."""
-    return sales.groupBy(key).agg(
-        m.buyers(), m.orders(), m.revenue(total), m.mean_amount(),
-        m.revenue_per("Customer_ID", "avg_per_customer"))
+    counts = m.counted_lines(sales, [key], unique_customers="Customer_ID", total_orders="orderID")
+    each = mean_money(F.col("amount_cents"), F.col("unique_customers")).alias("avg_per_customer")
+    return counts.select(key, "unique_customers", "total_orders", m.added_revenue(total), m.added_mean(), each)
 
 
 def gender_age_city(t: RetailTables) -> DataFrame:
@@ -226,13 +226,16 @@ def category_by_occupation(t: RetailTables, occupations=None, k: int = 5) -> Dat
 
 
 def top_occupations_overall(t: RetailTables, k: int = 10) -> DataFrame:
-    sales = t.sold_to().groupBy("Occupation").agg(
-        m.distinct("Product_Category", "categories_purchased"), m.buyers(), m.orders(),
-        m.revenue("total_sales"), m.mean_amount())
+    counts = m.counted_lines(
+        t.sold_to(), ["Occupation"], categories_purchased="Product_Category",
+        unique_customers="Customer_ID", total_orders="orderID")
+    sales = counts.select("Occupation", "categories_purchased", "unique_customers", "total_orders",
+                          m.added_revenue("total_sales"), m.added_mean())
     return top_k(sales, [F.desc("total_sales"), "Occupation"], k)
 
 
 def occupation_diversity(t: RetailTables) -> DataFrame:
-    return (t.sold_to().groupBy("Occupation")
-            .agg(m.distinct("Product_Category", "categories_count"), m.revenue("total_sales"))
+    counts = m.counted_lines(t.sold_to(), ["Occupation"],
+                             categories_count="Product_Category")
+    return (counts.select("Occupation", "categories_count", m.added_revenue("total_sales"))
             .orderBy(F.desc("categories_count"), F.desc("total_sales"), "Occupation"))

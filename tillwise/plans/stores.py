@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from tillwise.functions import calendar as cal
 from tillwise.functions.money import from_cents
 from tillwise.operators import metrics as m
+from tillwise.operators.bitmaps import counted, merged, rolled_up, states
 from tillwise.operators.crosstab import with_total_row
 from tillwise.operators.ranking import top_k, top_k_per_group
+from tillwise.session import written
 from tillwise.tables import RetailTables
 
 STORE = ["storeID", "storeName"]
@@ -58,20 +60,24 @@ def yearly_rollup(t: RetailTables, year: int | None = None) -> DataFrame:
     ``level`` tells a subtotal from a row whose name is missing.
     """
     keys = ["storeName", "supplierName", "Product_ID"]
+    sums = {"quantity": F.col("quantity"), "amount_cents": F.col("amount_cents")}
+    lines = t.sold(cal.year_condition(t.transactions, year))
+    leaves = states(lines, keys, {"total_orders": F.col("orderID")}, sums)
     levels = F.array(*[F.lit(x) for x in ["product", "supplier", "store", "all"]])
-    rolled_up = sum((F.grouping(c).cast("int") for c in keys[1:]), F.grouping(keys[0]).cast("int"))
-    return (t.sold(cal.year_condition(t.transactions, year)).rollup(*keys)
-            .agg(F.get(levels, rolled_up).alias("level"), rolled_up.alias("_depth"),
-                 m.revenue("total_revenue"), m.units(), m.orders())
-            .orderBy(F.col("_depth") == 3, "storeName", F.col("_depth") >= 2, "supplierName",
-                     F.col("_depth") >= 1, F.desc("total_revenue"), "Product_ID")
-            .drop("_depth"))
+    return (rolled_up(leaves, keys, ["total_orders"], list(sums))
+            .select(*keys, F.get(levels, F.col("depth")).alias("level"), "depth",
+                    m.added_revenue("total_revenue"), F.col("quantity").alias("total_quantity"), "total_orders")
+            .orderBy(F.col("depth") == 3, "storeName", F.col("depth") >= 2, "supplierName",
+                     F.col("depth") >= 1, F.desc("total_revenue"), "Product_ID")
+            .drop("depth"))
 
 
 def store_summary(t: RetailTables, year: int | None = None) -> DataFrame:
-    stores = t.sold(cal.year_condition(t.transactions, year)).groupBy("storeName").agg(
-        m.distinct("supplierID", "supplier_count"), m.distinct("Product_ID", "product_count"),
-        m.orders(), m.units(), m.revenue("total_revenue"))
+    counts = m.counted_lines(
+        t.sold(cal.year_condition(t.transactions, year)), ["storeName"],
+        product_count="Product_ID", supplier_count="supplierID", total_orders="orderID")
+    stores = counts.select("storeName", "supplier_count", "product_count", "total_orders",
+                           F.col("quantity").alias("total_quantity"), m.added_revenue("total_revenue"))
     return (with_total_row(stores, "storeName", ["total_revenue"])
             .orderBy("is_total", F.desc("total_revenue"), "storeName").drop("is_total"))
 
@@ -93,6 +99,55 @@ def store_quarters(t: RetailTables) -> DataFrame:
             .orderBy("storeName", "sales_year", "sales_quarter", "storeID"))
 
 
+# --- the view, stored and kept up to date ---
+
+QUARTER = [*STORE, "sales_year", "sales_quarter"]
+COUNTED = {"products_sold": "Product_ID", "suppliers_involved": "supplierID", "total_orders": "orderID",
+           "unique_customers": "Customer_ID"}
+
+
+def quarter_states(t: RetailTables, where=None) -> DataFrame:
+    """Mergeable states of the view's rows, for the lines of one load."""
+    day = F.col("order_date")
+    lines = t.sold(where).withColumns({"sales_year": F.year(day), "sales_quarter": F.quarter(day)})
+    return m.line_states(lines, QUARTER, **COUNTED)
+
+
+def store_load(t: RetailTables, folder: str, where=None) -> None:
+    """Add the lines of one load to the stored states under ``folder``, one folder per year. Years
+    that the load does not touch keep their files; in the others old and new states are merged, so
+    old lines are not read again. A load must be given once: a line given twice would be added twice to
+    the sums. Merged states are written aside before they take the old ones' place."""
+    spark = t.transactions.sparkSession
+    new = written(quarter_states(t, where), "quarter-states")
+    years = [r[0] for r in new.select("sales_year").distinct().collect()]  # one row per year
+    known = [f for f in new.columns if f != "sales_year"] + ["sales_year"]
+    if stored(spark, folder):
+        touched = F.col("sales_year").isin([y for y in years if y is not None])
+        if None in years:
+            touched = touched | F.col("sales_year").isNull()
+        old = spark.read.parquet(folder).where(touched).select(*known)
+        new = merged(new.select(*known).union(old), QUARTER, m.SUMS)
+    new = written(new, "quarter-states")
+    (new.select(*known).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("sales_year").parquet(folder))
+
+
+def stored(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def stored_quarters(spark: SparkSession, folder: str) -> DataFrame:
+    """The view from its stored states."""
+    counts = counted(spark.read.parquet(folder), QUARTER, list(COUNTED), m.SUMS)
+    year, quarter = F.col("sales_year"), F.col("sales_quarter")
+    return counts.select(
+        *QUARTER, F.concat(year, F.lit("-Q"), quarter).alias("year_quarter"), "total_orders",
+        "unique_customers", F.col("quantity").alias("total_quantity"), m.added_revenue("total_sales"),
+        m.added_mean("avg_order_value"), "products_sold", "suppliers_involved")
+
+
 def create_quarterly_view(t: RetailTables, name: str = QUARTERLY_VIEW) -> None:
     store_quarters(t).createOrReplaceTempView(name)
 
