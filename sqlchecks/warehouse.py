@@ -45,6 +45,28 @@ def statements(full_year: int, sample_order: int) -> dict[str, str]:
             FROM transactional_data ANTI JOIN {table} USING ({key})"""
         for table, key in [("customer_master", "Customer_ID"), ("product_master", "Product_ID")])
 
+    # the first loads of the registry: two thirds of the customers, other products, and days before the middle
+    early = {"dim_customer": "Customer_ID % 3 <> 0", "dim_product": "storeID % 4 <> 1",
+             "dim_store": "storeID % 4 <> 1", "dim_supplier": "storeID % 4 <> 1",
+             "dim_date": "order_date < DATE '1998-05-15'"}
+    found["e10_persistent_keys"] = " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, b AS members_before, a AS members_after, b AS kept_keys,
+            a AS distinct_keys, CASE WHEN a > b THEN b + 1 END AS first_new_key
+            FROM (SELECT (SELECT count(*) FROM ({rows} WHERE {early[name]})) AS b,
+                         (SELECT count(*) FROM ({rows})) AS a)"""
+        for name, rows in sizes)
+    first_lines = "SELECT orderID, order_date, count(*) AS n FROM transactional_data GROUP BY ALL"
+    found["e11_enforced_load"] = " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, count(*) AS given_rows, count(*) AS accepted_rows,
+            CAST(0 AS BIGINT) AS accepted_units, CAST(0 AS BIGINT) AS rejected_rows FROM {table}"""
+        for table in ("customer_master", "product_master")) + f"""
+      UNION ALL SELECT 'transactional_data', CAST(sum(n) AS BIGINT), count(*),
+        (SELECT CAST(sum(f.q) AS BIGINT) FROM (SELECT min({{'line': l_linenumber, 'part': l_partkey,
+         'q': CAST(l_quantity AS INTEGER)}}) AS f FROM lineitem GROUP BY l_orderkey)), CAST(sum(n - 1) AS BIGINT) FROM ({first_lines})"""
+    found["e12_rejected_rows"] = f"""SELECT 'orderID is repeated' AS rule,
+        CAST(year(order_date) AS INTEGER) AS order_year, CAST(sum(n - 1) AS BIGINT) AS rejected_rows,
+        count(*) AS orders FROM ({first_lines}) WHERE n > 1 GROUP BY ALL"""
+
     def total(keys, name, where="true", tail=""):
         return f"SELECT {keys}, {revenue(name)} FROM sold_to WHERE {where} GROUP BY ALL {tail}"
 

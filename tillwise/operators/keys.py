@@ -57,3 +57,62 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def any_missing(*columns: str) -> Column:
     return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+
+
+# --- keys that outlast a load ---
+
+def extend_key_map(rows: DataFrame, folder: str, key: str, natural: list[str]) -> DataFrame:
+    """The key map stored under ``folder`` after the members in ``rows`` have joined it.
+
+    Members that have a key keep it; new ones are numbered after the highest key given so far. A
+    member is its ``natural`` columns (nulls are equal). Only the new members are written, so the
+    map grows by appending, and a load that runs again adds nothing.
+    """
+    spark = rows.sparkSession
+    members = rows.select(*natural).distinct()
+    empty = spark.createDataFrame([], members.schema).select(F.lit(0).cast("bigint").alias(key), "*")
+    empty.limit(0).write.mode("ignore").parquet(f"{folder}/load=0")
+    known = read_key_map(spark, folder)
+    same = reduce(Column.__and__, [members[c].eqNullSafe(known[c]) for c in natural])
+    new = members.join(known, same, "left_anti")
+    last = known.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    loads = known.agg(F.coalesce(F.max("load"), F.lit(0))).first()[0]
+    numbered = with_surrogate_key(new, key, natural).withColumn(key, F.col(key) + F.lit(last))
+    numbered.write.mode("overwrite").parquet(f"{folder}/load={loads + 1}")
+    return read_key_map(spark, folder).drop("load")
+
+
+def read_key_map(spark, folder: str) -> DataFrame:
+    return spark.read.option("basePath", folder).parquet(f"{folder}/load=*")
+
+
+# --- constraints that act at load ---
+
+def enforce_key(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with a ``key`` that is unique and known, and the rejected rows with their ``rule`` and number
+    (``copies``). Of several rows with one key the first in the order of all columns stays.
+
+    Equal rows are counted and the first row is a minimum, both inside the tasks first, so a key
+    that holds a third of all rows is not gathered anywhere.
+    """
+    columns = rows.columns
+    distinct = rows.groupBy(*columns).agg(F.count("*").alias("copies"))
+    ordered = F.struct(*columns)
+    first = (distinct.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
+             .agg(F.min(ordered).alias("_first")))
+    met = distinct.join(first, F.col(key) == F.col("_key"), "left")
+    stays = F.coalesce(ordered.eqNullSafe(F.col("_first")), F.lit(False)) & F.col("_key").isNotNull()
+    rule = F.when(F.col(key).isNull(), f"{key} is missing").otherwise(f"{key} is repeated")
+    rejected = (met.withColumn("copies", F.col("copies") - F.when(stays, 1).otherwise(0))
+                .where("copies > 0").select(*columns, rule.alias("rule"), "copies"))
+    return first.select("_first.*"), rejected
+
+
+def enforce_parent(rows: DataFrame, parent: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``key`` is null or one of ``parent``, and the others with their rule."""
+    known = parent.select(F.col(key).alias("_parent")).distinct()
+    met = rows.join(known, F.col(key) == F.col("_parent"), "left")
+    fits = F.col(key).isNull() | F.col("_parent").isNotNull()
+    return (met.where(fits).select(*rows.columns),
+            met.where(~fits).select(*rows.columns, F.lit(f"{key} is unknown").alias("rule"),
+                                    F.lit(1).cast("bigint").alias("copies")))
