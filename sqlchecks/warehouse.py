@@ -170,4 +170,8 @@ def statements(full_year: int, sample_order: int) -> dict[str, str]:
     found["x06_row_counts"] = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
         for t in ["customer_master", "product_master", "transactional_data"])
+    for n, name in enumerate(["top_customers", "city_gender", "category_by_age", "monthly_trend"], 1):
+        found[f"s{n + 4:02}_running_{name}"] = found[f"x{n:02}_{name}"]
+        if n < 4:
+            found[f"s04_{name}"] = found[f"x{n:02}_{name}"]
     return {name: statement(" " + body) for name, body in found.items()}
