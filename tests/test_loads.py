@@ -83,3 +83,10 @@ def test_words_add_up(spark):
 def test_lines_are_not_copied_for_distinct_counts(spark, name):
     frame = registry.queries()[name](spark, FOLDER)
     assert "Expand" not in frame._jdf.queryExecution().toString()
+
+
+def test_a_cross_tab_of_too_many_columns_is_refused(spark):
+    from tillwise.operators.crosstab import MOST_COLUMNS, values_of
+    assert values_of(spark.range(MOST_COLUMNS), "id") == list(range(MOST_COLUMNS))
+    with pytest.raises(ValueError, match="more than"):
+        values_of(spark.range(MOST_COLUMNS + 1), "id")

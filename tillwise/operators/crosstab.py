@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOTAL, OTHER = "TOTAL", "other"
-MOST_COLUMNS = 1000  # values beyond these are counted in the column of other values
+MOST_COLUMNS = 1000  # a table of more columns needs a list of them
 
 
 def slug(value) -> str:
@@ -35,8 +35,11 @@ def crosstab(df: DataFrame, row: str, column: str, values: list, prefix: str,
 
 def values_of(df: DataFrame, column: str) -> list:
     """The known values of a column of few values, in order: columns of a cross-tab."""
-    return [r[0] for r in df.select(column).where(F.col(column).isNotNull())
-            .distinct().orderBy(column).limit(MOST_COLUMNS).collect()]
+    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull())
+             .distinct().orderBy(column).limit(MOST_COLUMNS + 1).collect()]
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"{column} has more than {MOST_COLUMNS} values: list those wanted")
+    return found
 
 
 def with_total_row(df: DataFrame, label: str, sums: list[str]) -> DataFrame:
