@@ -147,7 +147,8 @@ def statements(full_year: int, sample_order: int) -> dict[str, str]:
         Product_Category AS product_category, price, storeID AS store_id,
         supplierID AS supplier_id, storeName AS store_name, supplierName AS supplier_name,
         CAST(quantity * price AS DECIMAL(12,2)) AS total_amount FROM sold_to"""
-    found["s01_stream_enrich"] = enriched
+    found["s01_stream_enrich"] = found["s10_replayed"] = enriched
+    found["s09_late_customers"] = f"SELECT *, customer_id % 3 = 0 AS late FROM ({enriched})"
     found["s02_enrich_stats"] = """SELECT count(*) AS received,
         (SELECT count(*) FROM sold_to) AS joined,
         count(*) - (SELECT count(*) FROM sold_to) AS dropped FROM transactional_data"""

@@ -116,3 +116,79 @@ def test_empty_sink_is_created_once_and_rows_are_counted(spark, tmp_path):
     enrichment.create_sink(spark, str(tmp_path / "out"))
     assert tuple(enrichment.counts(spark, str(tmp_path / "out")).first()) == (5, 5, 0)
     assert enrichment.read_enriched(spark, str(tmp_path / "out")).count() == 5
+
+
+def test_masters_that_repeat_keys_multiply_rows_but_not_lines(spark, tmp_path):
+    write_lines(tmp_path / "in", "a.csv", LINES + [(1, 5, "P00069042", 1, "2020-01-01"), (2, None, "P0", 1, "")])
+    customers, products = masters(spark)
+    stream = files.csv_stream(spark, str(tmp_path / "in"))
+    enrichment.run_to_end(stream, customers.union(customers), products.union(products), str(tmp_path / "out"),
+                          str(tmp_path / "checkpoint"), rejected=str(tmp_path / "rejected"))
+    assert tuple(enrichment.counts(spark, str(tmp_path / "out")).first()) == (7, 20, 2)
+    assert enrichment.read_enriched(spark, str(tmp_path / "out")).count() == 20
+    assert enrichment.read_rejected(spark, str(tmp_path / "rejected")).count() == 2
+
+
+def test_a_fresh_checkpoint_with_other_batches_adds_only_new_files(spark, tmp_path):
+    for nth, name in enumerate("abc"):
+        write_lines(tmp_path / "in", f"{name}.csv", LINES[nth:nth + 2] + LINES[:1])
+    customers, products = masters(spark)
+    out = str(tmp_path / "out")
+
+    def stream(checkpoint, **kw):
+        enrichment.run_to_end(files.csv_stream(spark, str(tmp_path / "in"), **kw), customers, products, out,
+                              str(tmp_path / checkpoint))
+        return sorted(r.order_id for r in enrichment.read_enriched(spark, out).collect())
+    want = [line[0] for nth in range(3) for line in LINES[nth:nth + 2] + LINES[:1]]
+    assert stream("one", files_per_batch=1) == sorted(want)
+    assert stream("two") == sorted(want)  # all files in one batch
+    write_lines(tmp_path / "in", "d.csv", LINES[3:])
+    assert stream("three", files_per_batch=3) == sorted(want + [line[0] for line in LINES[3:]])
+    assert stream("two") == stream("one", files_per_batch=1) == sorted(want + [line[0] for line in LINES[3:]])
+    assert tuple(enrichment.counts(spark, out).first()) == (11, 11, 0)
+
+
+def test_late_masters_release_waiting_lines_once(spark, tmp_path, monkeypatch):
+    customers, products = masters(spark)
+    out, rejected = str(tmp_path / "out"), str(tmp_path / "rejected")
+    early = customers.where("Customer_ID <> 1000001")
+
+    def follow(known):
+        enrichment.run_to_end(files.csv_stream(spark, str(tmp_path / "in"), files_per_batch=1), known, products,
+                              out, str(tmp_path / "checkpoint"), rejected=rejected)
+
+    def orders():
+        return sorted(r.order_id for r in enrichment.read_enriched(spark, out).collect())
+
+    def waits():
+        return sorted((r.orderID, r.missing) for r in enrichment.waiting(spark, out, rejected).collect())
+    write_lines(tmp_path / "in", "a.csv", LINES + [(7, 5, "P0", 1, "2020-01-01"), LINES[0]])
+    follow(early)
+    first, third = LINES[0][0], LINES[2][0]
+    known = [LINES[1][0], LINES[3][0], LINES[4][0]]
+    assert orders() == sorted(known)
+    assert waits() == sorted([(first, "customer"), (first, "customer"), (third, "customer"),
+                              (7, "customer and product")])
+    assert tuple(enrichment.counts(spark, out).first()) == (7, 3, 4)
+
+    enrichment.release(spark, early, products, out, rejected)  # nothing new is known
+    assert len(waits()) == 4 and orders() == sorted(known)
+    write_lines(tmp_path / "in", "b.csv", [(8, 1000001, "P00087842", 1, "2020-01-02")])
+    follow(early)  # a batch after the first release waits with the others
+    assert len(waits()) == 5
+
+    finish = enrichment._finish  # the release stops before it is finished ...
+    monkeypatch.setattr(enrichment, "_finish", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    try:
+        enrichment.release(spark, customers, products, out, rejected)
+    except OSError:
+        pass
+    assert len(waits()) == 5 and orders() == sorted(known)
+    monkeypatch.setattr(enrichment, "_finish", finish)
+    for _ in range(2):  # ... and is called again, once more than needed
+        enrichment.release(spark, customers, products, out, rejected)
+        assert orders() == sorted(known + [first, first, third, 8])
+        assert waits() == [(7, "customer and product")]
+        assert tuple(enrichment.counts(spark, out).first()) == (8, 7, 1)
+    follow(customers)
+    assert len(orders()) == 7

@@ -1,6 +1,6 @@
 """Enriched transactions: the joined row, what fails to join, and reports on the result."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar as cal
@@ -16,23 +16,71 @@ PRODUCT_COLUMNS = {
     "Product_ID": "product_id", "Product_Category": "product_category", "price": "price",
     "storeID": "store_id", "supplierID": "supplier_id", "storeName": "store_name",
     "supplierName": "supplier_name"}
+COPY = "copy_of_key"
 
 
 def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for old, new in names.items()])
 
 
-def enrich(transactions: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Inner join with both masters plus ``total_amount``; works on batches and streams."""
-    lines = transactions.select(
+def _lines(transactions: DataFrame, *more: str) -> DataFrame:
+    return transactions.select(
         F.col("orderID").alias("order_id"), "order_date", "quantity",
-        F.col("Customer_ID").alias("customer_id"), F.col("Product_ID").alias("product_id"))
+        F.col("Customer_ID").alias("customer_id"), F.col("Product_ID").alias("product_id"), *more)
+
+
+def _enriched_columns() -> list:
     who, what = list(CUSTOMER_COLUMNS.values())[1:], list(PRODUCT_COLUMNS.values())[1:]
     amount = (F.col("quantity") * F.col("price")).cast("decimal(12,2)")
-    return (lines.join(_renamed(customers, CUSTOMER_COLUMNS), "customer_id")
-            .join(_renamed(products, PRODUCT_COLUMNS), "product_id")
-            .select("order_id", "order_date", "quantity", "customer_id", *who,
-                    "product_id", *what, amount.alias("total_amount")))
+    return ["order_id", "order_date", "quantity", "customer_id", *who, "product_id", *what,
+            amount.alias("total_amount")]
+
+
+def enrich(transactions: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Inner join with both masters plus ``total_amount``; works on batches and streams."""
+    return (_lines(transactions).join(_renamed(customers, CUSTOMER_COLUMNS), "customer_id")
+            .join(_renamed(products, PRODUCT_COLUMNS), "product_id").select(*_enriched_columns()))
+
+
+# --- one probe of both masters, for rows, rejects and counts together ---
+
+def numbered(master: DataFrame, key: str) -> DataFrame:
+    """A master with a running number among the rows of a key, for ``probe``. Write it before use: a
+    plain table can be broadcast, or its hot keys split, where a window below the join could not."""
+    by = Window.partitionBy(key).orderBy(*[c for c in master.columns if c != key])
+    return master.withColumn(COPY, F.row_number().over(by))
+
+
+def probe(transactions: DataFrame, customers: DataFrame, products: DataFrame, *more: str) -> DataFrame:
+    """Each line with what the ``numbered`` masters know of it, in one left join with each: ``missing`` names
+    the masters that do not know it, ``first`` is true for one row of a line, however often a
+    master repeats its keys."""
+    who = _renamed(customers, CUSTOMER_COLUMNS | {COPY: "nth_customer"})
+    what = _renamed(products, PRODUCT_COLUMNS | {COPY: "nth_product"})
+    no_customer, no_product = F.col("nth_customer").isNull(), F.col("nth_product").isNull()
+    missing = (F.when(no_customer & no_product, "customer and product")
+               .when(no_customer, "customer").when(no_product, "product"))
+    first = (F.coalesce("nth_customer", F.lit(1)) == 1) & (F.coalesce("nth_product", F.lit(1)) == 1)
+    return (_lines(transactions, *more).join(who, "customer_id", "left").join(what, "product_id", "left")
+            .select(*_enriched_columns(), *more, missing.alias("missing"), first.alias("first")))
+
+
+def probed_rows(probed: DataFrame) -> DataFrame:
+    """The rows of ``enrich``."""
+    return probed.where("missing IS NULL").drop("missing", "first")
+
+
+def probed_rejects(probed: DataFrame, *more: str) -> DataFrame:
+    """The rows of ``unmatched``."""
+    return probed.where("missing IS NOT NULL AND first").select(
+        F.col("order_id").alias("orderID"), F.col("customer_id").alias("Customer_ID"),
+        F.col("product_id").alias("Product_ID"), "quantity", "order_date", *more, "missing")
+
+
+def probed_counts(probed: DataFrame) -> DataFrame:
+    """Lines received, rows enriched and lines dropped."""
+    return probed.agg(F.count_if("first").alias("received"), F.count_if(F.isnull("missing")).alias("joined"),
+                      F.count_if(F.isnotnull("missing") & F.col("first")).alias("dropped"))
 
 
 def unmatched(transactions: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
