@@ -96,3 +96,40 @@ def test_the_index_finds_all_within_its_radius():
             for b in rng.choice(64, bits, replace=False):
                 p ^= 1 << int(b)
             assert i in items.near(30, p)
+
+
+def found_by(items, rows):
+    known, rolling = contamination.Items(items), contamination.Rolling(contamination._BASE)
+    return sorted(((d, known.ids[i], *hit) for d, text in rows for i, hit in contamination.matches(
+        text, known, rolling).items()), key=repr)
+
+
+def test_repeated_shingles_and_small_vocabularies():
+    """The item and the document begin with different words of two that alternate: similarity 0.8."""
+    assert found_by([(1, "yes no " * 6 + "yes")], [(2, "no yes " * 6 + "no")]) == [(2, 1, 0.8, 0, 13)]
+    rng = random.Random(3)
+    for size in (2, 3, 5, 20):
+        items, rows = [], []
+        for i in range(12):
+            items.append((i, " ".join(f"w{rng.randrange(size)}" for _ in range(rng.randint(12, 40)))))
+        for d in range(40):
+            text = items[rng.randrange(12)][1].split()
+            if rng.random() < 0.7:
+                text[rng.choice((0, 1, -1))] = f"w{rng.randrange(size)}"
+            around = [f"w{rng.randrange(size)}" for _ in range(30)]
+            rows.append((d, " ".join(around[:rng.randint(0, 30)] + text + around)))
+        want = plain(items, rows)
+        assert want and found_by(items, rows) == want
+
+
+def test_a_long_text_of_one_repeated_phrase(monkeypatch):
+    import tracemalloc
+    items, long = [(1, "on and on " * 10)], "on and on " * 100_000
+    tracemalloc.start()
+    assert found_by(items, [(1, long)]) == [(1, 1, 1.0, 0, 30)]
+    assert tracemalloc.get_traced_memory()[1] < 300_000_000
+    tracemalloc.stop()
+    rows = [(i, ("x " * i + "on and on " * (7 + i) + "y and on ") * 4) for i in range(12)]
+    monkeypatch.setattr(contamination, "STRETCH", 7)  # stretches join without a seam
+    monkeypatch.setattr(contamination, "REMEMBERED", 3)
+    assert found_by(items, rows) == plain(items, rows)
