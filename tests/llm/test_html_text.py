@@ -69,10 +69,20 @@ def test_choices_never_contradict(trees):
     for _ in range(50):
         chance = rng.uniform(size=len(page.tags))
         kept = dom.decide(page, chance)
-        whole = [i for i in range(1, len(page.tags)) if kept[i]]
-        for i in whole:  # below a kept element nothing is dropped unless the element is open
-            below = [j for j in range(len(page.tags)) if page.parents[j] == i]
-            assert len({bool(kept[j]) for j in below}) <= 2
+        below = [[j for j, p in enumerate(page.parents) if p == i] for i in range(len(page.tags))]
+
+        def inside(i):
+            return [i] + [k for j in below[i] for k in inside(j)]
+        for i in range(1, len(page.tags)):
+            # an element that goes the way of its parent's whole subtree has no say of its own: where
+            # a kept element holds a dropped one, or the other way round, no element above is closed
+            if len({bool(kept[j]) for j in inside(i)}) == 2:
+                likely = np.clip(chance[inside(i)], 1e-3, 1 - 1e-3)
+                size = np.array([1 + sum(np.log1p(len(e[1].split())) for e in page.events if e and e[0] == j)
+                                 for j in inside(i)])
+                whole = max((size * np.log(likely)).sum(), (size * np.log(1 - likely)).sum())
+                chosen = (size * np.log(np.where(kept[inside(i)], likely, 1 - likely))).sum()
+                assert chosen > whole  # splitting pays, else the element would be closed
     assert not dom.decide(page, np.full(len(page.tags), 0.01)).any()
     assert dom.decide(page, np.full(len(page.tags), 0.99))[2:].all()
 
@@ -124,3 +134,45 @@ def test_input_pages_give_no_marks():
         known = html_text.known_nodes(page)
         assert html_text.blocks_of(page, known, 1.0) == ["Words of the text."]
         assert html_text.blocks_of(page, known, 0.0) == ["Home"]
+
+
+PROSE = ("The ferry leaves the harbour at seven in the morning, and the crossing takes about two hours. "
+         "Most people stay on deck, since the view of the islands is the reason why they came.")
+
+
+def test_elements_the_contract_does_not_name_are_kept(trees):
+    body = f"<article><h1>A title</h1><p>{PROSE}</p><p>Energy is <math><mi>E</mi><mo>=</mo><mi>mc</mi></math> for all bodies at rest, as was found out long ago.</p></article>"
+    assert html_text.extract([f"<html><body>{body}</body></html>"], trees) == [
+        f"A title\n{PROSE}\nEnergy is E=mc for all bodies at rest, as was found out long ago."]
+
+
+def test_headings_links_and_lists_inside_an_article(trees):
+    linked = PROSE.replace("two hours", "<a href=/x>two hours</a>")
+    more = "<li><a href=/1>How to find a place on the early ferry</a></li><li><a href=/2>What the islands were like before</a></li>"
+    menu = "<nav><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></nav>"
+    want = ["Real title", PROSE, PROSE]
+    for source in (
+            f"{menu}<article><header><h1>Real title</h1></header><p>{PROSE}</p><p>{PROSE}</p></article>",
+            f"{menu}<article><header><h1>Real title</h1></header><p>{linked}</p><p>{linked}</p></article>",
+            f"{menu}<div class=entry><h1>Real title</h1><p>{linked}</p><p>{PROSE}</p></div>"):
+        got = html_text.extract([f"<html><head><title>x</title></head><body>{source}</body></html>"], trees)[0]
+        assert got.split("\n") == want, source
+    got = html_text.extract([f"<html><body>{menu}<div class=entry><h1>Real title</h1><p>{linked}</p><ul>{more}</ul></div>"
+                             "</body></html>"], trees)[0].split("\n")
+    assert got[:2] == ["Real title", PROSE]
+
+
+def test_copyright_lines_in_bare_elements(trees):
+    for foot in ("<div>&copy; 2020 The Ferry Company. All rights reserved.</div>",
+                 "<table><tr><td>Copyright &copy; The Ferry Company</td></tr></table>"):
+        got = html_text.extract([f"<html><body><article><h1>Real title</h1><p>{PROSE}</p><p>{PROSE}</p></article>{foot}</body></html>"],
+                                trees)
+        assert got == [f"Real title\n{PROSE}\n{PROSE}"], foot
+
+
+def test_parsing_is_linear_in_unclosed_elements():
+    import time
+    for inner in ("<font>", "<b><p>", "<p><font>", "<li><i>", "</i><u>"):
+        started = time.perf_counter()
+        dom.Page(inner * 20_000)
+        assert time.perf_counter() - started < 5, inner

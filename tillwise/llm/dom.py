@@ -2,6 +2,7 @@
 
 import math
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
@@ -10,20 +11,22 @@ BLOCKS = frozenset("""address article aside blockquote body center dd details di
 fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu
 nav ol p pre search section summary table tbody tfoot thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# elements whose text is never shown as text of the page
-UNSEEN = frozenset("""head script style noscript template title iframe object svg math canvas audio
-video select option optgroup datalist textarea button""".split())
+# elements whose text is dropped unasked: head, scripts, styles and form controls. The trees decide on all others
+UNSEEN = frozenset("head script style template title select option optgroup datalist textarea button".split())
 # what may stand in a head: any other element, and text, ends it
 _IN_HEAD = frozenset("""html head base basefont bgsound link meta title style script noscript noframes
 template""".split())
 # inline elements that are no nodes of their own: their text belongs to the element around
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark
-q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input""".split())
+q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input
+math mfenced mfrac mi mn mo mover mpadded mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr
+munder munderover semantics""".split())
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
          "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
          "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"},
          "tfoot": {"tr", "td", "th", "tbody"}}
 _SCOPE = frozenset("table ul ol dl div section article aside nav body html td th".split())
+_RIGHTS = re.compile("©|copyright|rights reserved", re.IGNORECASE)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _TAGS = ("p", "div", "section", "article", "main", "nav", "aside", "header", "footer", "form", "ul",
          "ol", "li", "table", "tr", "td", "figure", "blockquote", "pre", "h1", "h2", "h3", "body")
@@ -48,34 +51,42 @@ class Page(HTMLParser):
         self.marks: list[str | None] = [None]  # of made pages: whether a node is main text
         self.events: list[tuple[int, str, bool] | None] = []
         self.open: list[tuple[str, int, bool]] = [("#root", 0, False)]  # tag, node, link
+        self.places: dict[str, list[int]] = defaultdict(list)  # of a tag among the open elements
+        self.open_blocks: list[int] = []
         self.unseen = 0
         self.feed(html)
         self.close()
 
+    def _push(self, tag: str, node: int, link: bool) -> None:
+        self.places[tag].append(len(self.open))
+        if tag in BLOCKS:
+            self.open_blocks.append(len(self.open))
+        self.open.append((tag, node, link))
+
     def _pop_to(self, at: int) -> None:
-        at -= self.open[at - 1][0] == "#hidden"
-        for tag, _, _ in self.open[at:]:
+        for tag, _, _ in reversed(self.open[at:]):
+            self.places[tag].pop()
             if tag in BLOCKS:
                 self.events.append(None)
-            if tag in UNSEEN or tag == "#hidden":
-                self.unseen -= 1
+                self.open_blocks.pop()
+            self.unseen -= tag in UNSEEN
         del self.open[at:]
 
+    def _last(self, tags) -> int:
+        """Where the innermost open element with one of these tags is, or 0."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
     def _end_open(self, ends, scope) -> None:
-        for at in range(len(self.open) - 1, 0, -1):
-            tag = self.open[at][0]
-            if tag in ends:
-                self._pop_to(at)
-                return
-            if tag in scope:
-                return
+        at = self._last(ends)
+        if at and at >= self._last(scope):
+            self._pop_to(at)
 
     def _end_head(self) -> None:
-        self._pop_to(next(at for at, o in enumerate(self.open) if o[0] == "head"))
+        self._pop_to(self.places["head"][0])
 
     def handle_starttag(self, tag, attrs):
         if (self.open[-1][0] == "head" and tag not in _IN_HEAD) or (
-                tag == "body" and any(o[0] == "head" for o in self.open)):
+                tag == "body" and self.places.get("head")):
             self._end_head()
         if tag in BLOCKS:
             self.events.append(None)
@@ -85,6 +96,8 @@ class Page(HTMLParser):
         node, link = self.open[-1][1], self.open[-1][2] or tag == "a"
         values = dict(attrs)
         kept = " ".join(filter(None, (values.get(k) for k in ("class", "id", "role", "itemprop"))))
+        if "hidden" in values or "display:none" in (values.get("style") or "").replace(" ", ""):
+            kept += " hidden"
         if tag not in INLINE or (kept and tag == "span"):
             self.tags.append(tag)
             self.parents.append(node)
@@ -97,10 +110,7 @@ class Page(HTMLParser):
             return
         if tag in UNSEEN:
             self.unseen += 1
-        elif "hidden" in values or "display:none" in (values.get("style") or "").replace(" ", ""):
-            self.unseen += 1
-            self.open.append(("#hidden", node, link))
-        self.open.append((tag, node, link))
+        self._push(tag, node, link)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -108,12 +118,9 @@ class Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at][0] == tag:
-                self._pop_to(at)
-                return
-            if tag in INLINE and self.open[at][0] in BLOCKS:
-                return
+        at = self._last((tag,))
+        if at and not (tag in INLINE and self.open_blocks and self.open_blocks[-1] > at):
+            self._pop_to(at)
 
     def handle_data(self, data):
         if self.open[-1][0] == "head" and not data.isspace():
@@ -128,7 +135,7 @@ class Page(HTMLParser):
 FEATURES = (["depth", "children", "place", "like_siblings", "text", "words", "own_words", "link_share",
              "words_per_block", "stops", "symbols", "text_of_page", "text_of_parent", "text_of_siblings",
              "blocks", "starts_at", "about_text", "about_rest", "about_text_above", "about_rest_above",
-             "inside_article", "inside_list"]
+             "inside_article", "inside_list", "rights", "rights_per_block"]
             + [f"tag_{t}" for t in _TAGS] + [f"attr_{i}" for i in range(HASHED)])
 
 
@@ -143,7 +150,7 @@ def features(page: Page) -> np.ndarray:
     """One row per node: densities of its subtree, its depth, its place among its siblings, and the
     tokens of its attributes and of those around it."""
     n, parents = len(page.tags), page.parents
-    own = np.zeros((n, 6))  # characters, words, words in links, stops, symbols, blocks
+    own = np.zeros((n, 7))  # characters, words, words in links, stops, symbols, blocks, copyright marks
     first = np.full(n, len(page.events))
     new_block = True
     for at, event in enumerate(page.events):
@@ -156,7 +163,7 @@ def features(page: Page) -> np.ndarray:
             continue
         own[node] += (len(text), words, words * link, text.count(".") + text.count(",")
                       + text.count("!") + text.count("?"),
-                      sum(map(text.count, "#$%&*|@{}<>=")), new_block)
+                      sum(map(text.count, "#$%&*|@{}<>=")), new_block, len(_RIGHTS.findall(text)))
         first[node] = min(first[node], at)
         new_block = False
     total = own.copy()
@@ -200,7 +207,7 @@ def features(page: Page) -> np.ndarray:
         total[:, 4] / np.maximum(total[:, 0], 1), words / max(words[0], 1),
         words / np.maximum(words[up], 1), np.log((words + 1) / (words[up] / siblings + 1)),
         np.log1p(total[:, 5]), first / max(len(page.events), 1), good, bad, good_above, bad_above,
-        article, in_list], 1)
+        article, in_list, np.log1p(total[:, 6]), total[:, 6] / np.maximum(total[:, 5], 1)], 1)
     return rows
 
 

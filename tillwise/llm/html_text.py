@@ -8,7 +8,8 @@ element is never kept inside one that is dropped, or dropped inside one that is
 The trees are trained on at most ``TRAIN_PAGES`` pages, those whose ids hash lowest, of at most
 ``TRAIN_CHARS`` characters. Their marked-up articles and surroundings give labels, and the blocks
 of both are laid out anew in ``LAYOUTS`` random pages with other elements, class names, comments,
-forms, notices and adverts, so that the model does not rest on one layout. Every page is
+forms, notices and adverts, headings in headers, links and lists of links in the text, and footers in bare
+elements and tables, so that the model does not rest on one layout. Every page is
 extracted from its whole text.
 
 Results: null and empty pages give an empty text; malformed markup is read as far as it goes;
@@ -17,6 +18,7 @@ columns of the input are ignored.
 """
 
 import random
+import re
 from collections.abc import Iterator
 from html import escape
 
@@ -89,6 +91,13 @@ class Layouts:
                        for _ in range(self.random.randint(low, high)))
 
     def _around(self, kind: str) -> str:
+        made = self._plain_around(kind)
+        if kind != "foot" and self.random.random() < 0.04:
+            hide = self.random.choice([" hidden", ' style="display: none"'])
+            made = re.sub(r"^<\w+", lambda m: m[0] + hide, made)
+        return made
+
+    def _plain_around(self, kind: str) -> str:
         r, e = self.random, self._element
         if kind == "head":
             return e("header div", "header masthead site-header topbar banner top", e(
@@ -124,9 +133,23 @@ class Layouts:
                 for _ in range(r.randint(1, 6)))
             return e("section div div ol", "comments comment-list replies discussion responses "
                      "disqus feedback reader-comments", f"<h3>{self._words(1, 3)}</h3>" + each, 0)
+        line = r.choice(["&copy; {}", "&copy; 2020 {}", "Copyright {}", "Copyright &copy; {} All rights reserved.",
+                         "{} All rights reserved."]).format(self._words(2, 12))
+        if r.random() < 0.35:  # no name and no footer element says what it is
+            return e("div p center section div", "", line, 0) if r.random() < 0.6 else (
+                f'<table data-main="0"><tr><td>{line}</td></tr></table>')
         return e("footer footer div", "footer site-footer bottom copyright colophon",
-                 f"<p>&copy; {self._words(2, 12)}</p>" + r.choice(
-                     ["", self._links(r.randint(2, 6))]), 0)
+                 f"<p>{line}</p>" + r.choice(["", self._links(r.randint(2, 6))]), 0)
+
+    def _linked(self, block: str) -> str:
+        """A block of text with some of its words in links."""
+        words = block.split(" ")
+        for _ in range(self.random.randint(1, 3)):
+            low = self.random.randrange(len(words))
+            high = min(len(words), low + self.random.randint(1, 8))
+            if "<" not in "".join(words[low:high]):
+                words[low:high] = ['<a href="/y">' + " ".join(words[low:high]) + "</a>"]
+        return " ".join(words)
 
     def page(self) -> str:
         r, e = self.random, self._element
@@ -136,11 +159,20 @@ class Layouts:
         blocks = r.choice(self.main)[:r.randint(1, 30)]
         if r.random() < 0.06:  # a long page
             blocks = blocks * (r.randint(50, 500) // len(blocks) + 1)
+        linked, headed = r.random() < 0.5, r.random() < 0.2
         for k, block in enumerate(blocks):
             tag = "h1" if k == 0 and r.random() < 0.7 else r.choices(
                 ["p", "h2", "blockquote", "ul", "pre", "div", "table"], [30, 2, 2, 2, 1, 3, 1])[0]
-            if tag == "ul":
+            if tag == "ul" and r.random() < 0.4:  # links that belong to the text
+                block = "".join(f'<li><a href="/z">{b}</a></li>' for b in block.split(". ")[:r.randint(2, 6)])
+            elif tag == "ul":
                 block = "".join(f"<li>{b}</li>" for b in block.split(". "))
+            elif tag in ("p", "div", "blockquote") and linked and r.random() < 0.4:
+                block = self._linked(block)
+            elif k == 0 and headed:
+                parts = r.choice(["", "", self._plain_around("share")])
+                body.append(f"<header{mark or ' data-main="1"'}><h1>{block}</h1>{parts}</header>")
+                continue
             if tag == "table":
                 block = "".join(f"<tr><td>{b}</td></tr>" for b in block.split(". "))
             body.append(f"<{tag}{mark}>{block}</{tag}>")
