@@ -19,5 +19,23 @@ def test_counts_are_those_of_the_library(docs_of):
         assert got == sorted(want, key=repr)
 
 
+def test_a_long_token_in_every_row(docs_of):
+    """A ruler line travels to the tasks; one too long for that is spread over several places."""
+    model = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path())
+    ruler, longer = "=-" * 30, "ab1" * 400
+    rows = [(i, f"row{i} {ruler} {longer} end") for i in range(500)]
+    docs = docs_of(rows)
+    assert f" {ruler}" in token_counts.frequent_pieces(docs, vocabulary_path())
+    got = rows_of(token_counts.token_counts(docs, vocabulary_path()), "doc_id", "n_tokens")
+    assert got == sorted(((i, len(model.encode(t))) for i, t in rows), key=repr)
+    before = token_counts.TABLE_BYTES
+    try:
+        token_counts.TABLE_BYTES = 70  # what does not fit goes the general way
+        assert len(token_counts.frequent_pieces(docs, vocabulary_path())) < 4
+        assert rows_of(token_counts.token_counts(docs, vocabulary_path()), "doc_id", "n_tokens") == got
+    finally:
+        token_counts.TABLE_BYTES = before
+
+
 def test_an_empty_table(docs_of):
     assert token_counts.token_counts(docs_of([]), vocabulary_path()).count() == 0

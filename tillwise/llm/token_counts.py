@@ -6,9 +6,10 @@ count of a text is the sum over its pre-tokens cut there. The library counts eac
 pre-token once; no ids are kept.
 
 Frequent pre-tokens are counted first and travel to the tasks as a table of at most
-``FREQUENT`` entries of at most ``LONGEST`` characters. It only saves shuffling: whatever it
-lacks goes through the general way, where per-document frequencies meet the piece counts by
-pre-token. The heavy keys are thus never shuffled.
+``FREQUENT`` entries of at most ``LONGEST`` characters, ``TABLE_BYTES`` in all. It only saves shuffling: whatever
+it lacks goes through the general way, where per-document frequencies meet the piece counts by
+pre-token. The heavy keys are thus never shuffled, and those longer than ``LONGEST`` are spread over up to
+``SALTS`` places, each of which counts them once.
 
 Results: null and empty texts have 0 bytes and 0 tokens; repeated rows each come out; a null
 id is kept; an empty table gives no rows; further columns of the input are ignored.
@@ -21,7 +22,7 @@ from itertools import islice
 
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm.tables import table
@@ -29,7 +30,9 @@ from tillwise.llm.vocabulary import vocabulary_path
 
 LIMIT = 4096
 FREQUENT = 1 << 18
-LONGEST = 48
+LONGEST = 256
+TABLE_BYTES = 32 << 20
+SALTS = 64
 _SPACE = "▁"  # fixed value: the vocabulary's sign for a space
 _PRETOKEN = re.compile(f"\n+|[ {_SPACE}]*[^ {_SPACE}\n]+|[ {_SPACE}]+")
 _AT_ONCE = 1 << 22  # characters of a text whose pre-tokens are listed at once
@@ -83,7 +86,10 @@ def frequent_pieces(docs: DataFrame, path: str, size: int = FREQUENT) -> dict[st
     counts = (docs.select("text").mapInArrow(_frequencies, "token string, n long")
               .groupBy("token").agg(F.sum("n").alias("n"))
               .orderBy(F.desc("n"), "token").limit(size))
-    tokens = counts.select("token").toArrow().column("token").to_pylist()
+    # the most frequent come first, so a bound on bytes leaves out none that is hot
+    so_far = F.sum(F.octet_length("token")).over(Window.orderBy(F.desc("n"), "token"))
+    tokens = counts.select("token", so_far.alias("bytes")).where(F.col("bytes") <= TABLE_BYTES).select(
+        "token").toArrow().column("token").to_pylist()
     return dict(zip(tokens, Pieces(path)(tokens), strict=True))
 
 
@@ -159,7 +165,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT,
     rows = texts.mapInArrow(
         lambda b: _documents(b, known.value),
         "doc_id long, copy int, token string, freq int, base long, n_bytes long")
-    counted = (rows.repartition("token").sortWithinPartitions("token").mapInArrow(
+    # a token too long for that table may be hot: it is counted in up to SALTS places
+    salt = F.when(F.length("token") > LONGEST, F.pmod(F.hash("doc_id", "copy"), F.lit(SALTS)))
+    counted = (rows.repartition(F.col("token"), salt).sortWithinPartitions("token").mapInArrow(
         lambda b: _count(b, path), "doc_id long, copy int, n_bytes long, rows int, pieces long"))
     # ``copy`` tells texts of one id apart, and four bytes of it are shuffled with every row;
     # equal rows add up to a multiple of the count of one, and are told apart again at the end
