@@ -76,3 +76,36 @@ def test_cosines_approximate_the_kernel():
     waves = model.cosines(x)[:, :-1]
     kernel = np.exp(-((x[:, None] - x[None]) ** 2).sum(-1) / (2 * width ** 2))
     assert np.abs(waves @ waves.T - kernel).max() < 0.1
+
+
+def test_scores_equal_a_plain_refit(spark):
+    """The whole way again in numpy, row by row of the sample, without partitions."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r["doc_id"], []).append(np.float32(quality.statistics(r["text"])).tolist())
+    truth = {}
+    for r in labels.collect():
+        if r["quality"] in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["doc_id"] in texts:
+            truth[r["doc_id"]] = max(r["quality"], truth.get(r["doc_id"], 0))
+    assert len(truth) < quality.TRAIN_ROWS  # so the sample is all of them
+    ids = sorted(truth)
+    x, y = np.array([min(texts[i]) for i in ids]), np.array([float(truth[i]) for i in ids])
+    third = np.array([zlib.crc32(str(i).encode()) % 4 == 3 for i in ids])
+    model = quality.fit(docs, labels)
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, np.maximum(x.std(0), 1e-6))
+    waves = np.cos(np.clip((x - model.mean) / model.scale, -8, 8) @ model.turn + model.shift)
+    z = np.hstack([waves * np.sqrt(2 / len(model.shift)), np.ones((len(x), 1))])
+    a, n = z[~third], (~third).sum()
+    weights = np.linalg.solve(a.T @ a + quality.RIDGE * n / 100 * np.eye(a.shape[1]), a.T @ y[~third])
+    assert np.allclose(weights, model.weights, atol=1e-6)
+    raw = z[third] @ weights
+    order = np.argsort(raw, kind="stable")
+    fitted = y[third][order]
+    steps = [max(min(fitted[i:j].mean() for j in range(k + 1, len(fitted) + 1)) for i in range(k + 1))
+             for k in range(0, len(fitted), 7)]  # the least and greatest means give the isotonic fit
+    assert np.allclose(model.scores(x[third])[order][::7], steps, atol=1e-6)
+    scores = {r["doc_id"]: r["score"] for r in quality.scored(docs, labels).collect() if len(texts[r["doc_id"]]) == 1}
+    at = {i: k for k, i in enumerate(ids)}
+    want = model.scores(x)
+    assert all(abs(scores[i] - want[at[i]]) < 1e-9 for i in ids if i in scores)

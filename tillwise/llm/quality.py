@@ -161,16 +161,24 @@ def _normal_equations(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.nda
     return total[:, :-1], total[:, -1]
 
 
-def fit(stats: DataFrame, labels: DataFrame, label: str = "quality",
-        most: int = TRAIN_ROWS) -> Model:
-    """A model from ``stats`` (doc_id, stats) and ``labels`` (doc_id and ``label``, 0 or 1)."""
+def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality",
+                  most: int = TRAIN_ROWS) -> DataFrame:
+    """(doc_id, label, stats, remainder) of the ``most`` labelled rows whose ids hash lowest. Only their texts
+    get statistics here; of several texts of one id the smallest statistics count."""
     known = (labels.where(F.col(label).isin(0, 1) & (remainder() != 2))
              .groupBy("doc_id").agg(F.max(label).cast("double").alias("label")))
-    one = stats.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("stats").alias("stats"))
-    sample = keep(known.join(one, "doc_id")
-                  .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-                  .withColumn("remainder", remainder())
-                  .repartition(FIT_PARTITIONS, "doc_id"), "train")
+    chosen = keep(known.join(docs.select("doc_id"), "doc_id", "left_semi")
+                  .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "train-ids")
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id", "left_semi")
+    one = with_statistics(texts).groupBy("doc_id").agg(F.min("stats").alias("stats"))
+    return keep(chosen.join(one, "doc_id").withColumn("remainder", remainder())
+                .repartition(FIT_PARTITIONS, "doc_id"), "train")
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
+        most: int = TRAIN_ROWS) -> Model:
+    """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id and ``label``, 0 or 1)."""
+    sample = training_rows(docs, labels, label, most)
     local = sample.select("stats", "label", "remainder").toPandas()  # at most ``most`` rows
     if local.empty or local["label"].nunique() == 1:
         return constant(0.5 if local.empty else float(local["label"].iloc[0]))
@@ -211,9 +219,8 @@ def score_of(spark: SparkSession, model: Model):
 def scored(docs: DataFrame, labels: DataFrame, label: str = "quality",
            threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs`` (doc_id, text)."""
-    stats = keep(with_statistics(docs), "statistics")
-    score = score_of(docs.sparkSession, fit(stats, labels, label))
-    return (stats.withColumn("score", score("stats")).select(
+    score = score_of(docs.sparkSession, fit(docs, labels, label))
+    return (with_statistics(docs).withColumn("score", score("stats")).select(
         "doc_id", F.coalesce(remainder() == 2, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted")))
 
@@ -221,8 +228,7 @@ def scored(docs: DataFrame, labels: DataFrame, label: str = "quality",
 def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality",
              threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``threshold``."""
-    stats = keep(with_statistics(docs.select("doc_id", "text")), "statistics")
-    shared = docs.sparkSession.sparkContext.broadcast(fit(stats, labels, label))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label))
 
     def passes():
         model = shared.value
