@@ -5,6 +5,7 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise.operators.baskets import basket_lines, top_pairs
 
@@ -35,6 +36,8 @@ CASES = {
     "only large": lines_of([50, 60, 70], 100, 4),
     "one basket holds a third of the lines": lines_of(ORDINARY + [sum(ORDINARY) // 2], 200, 5),
     "many different large baskets": lines_of(ORDINARY + [60] * 24, 120, 6),
+    "a few common items": lines_of([2, 3, 6] * 90, 6, 8) + lines_of([2, 1, 3] * 90, 60, 9),
+    "only common items": lines_of([2, 3, 6, 9] * 60, 5, 10),
     "identical large baskets": [(b, f"P{i:03d}") for b in range(3) for i in range(60)],
 }
 
@@ -54,6 +57,20 @@ def test_unknown_basket_or_item_is_left_out(spark):
     assert top_pairs(basket_lines(df, ["b"], "p"), 5).count() == 0
 
 
+def test_bitmaps_over_several_buckets_and_digits(spark, monkeypatch):
+    """Common items with many lines in a basket, and the search for a floor, at every size."""
+    from tillwise.operators import baskets
+    lines = [(b, f"P{i}") for b in range(300) for i in range(5) for _ in range((b * (i + 3)) % 7)]
+    lines += lines_of([4] * 200, 50, 11)
+    df = spark.createDataFrame(lines, "basket int, product string")
+    monkeypatch.setattr(baskets, "BUCKET", 70)
+    for cheap in (0, 1000):
+        monkeypatch.setattr(baskets, "CHEAP", cheap)
+        for weighted in (False, True):
+            got = top_pairs(basket_lines(df, ["basket"], "product"), 12, weighted, pilot=3)
+            assert [tuple(r) for r in got.collect()] == brute_force(lines, 12, weighted, 1)
+
+
 def test_one_plan_for_all_sizes(spark):
     """The plan does not look at the sizes of baskets."""
     from tillwise.operators import baskets
@@ -62,6 +79,6 @@ def test_one_plan_for_all_sizes(spark):
         df = spark.createDataFrame(lines_of(sizes, 600, 7), "basket int, product string")
         lines = basket_lines(df, ["basket"], "product")
         held = baskets._weigh(lines, False)
-        text = baskets._count_pairs(held, 16)._jdf.queryExecution().optimizedPlan().toString()
+        text = baskets._pairs_by_basket(held.withColumn("common", F.lit(False)), 16)._jdf.queryExecution().optimizedPlan().toString()
         plans.append([line.strip(" +-:").split(" ")[0] for line in text.split("\n")])
     assert plans[0] == plans[1]
