@@ -23,10 +23,10 @@ def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for old, new in names.items()])
 
 
-def _lines(transactions: DataFrame, *more: str) -> DataFrame:
+def _lines(transactions: DataFrame) -> DataFrame:
     return transactions.select(
         F.col("orderID").alias("order_id"), "order_date", "quantity",
-        F.col("Customer_ID").alias("customer_id"), F.col("Product_ID").alias("product_id"), *more)
+        F.col("Customer_ID").alias("customer_id"), F.col("Product_ID").alias("product_id"))
 
 
 def _enriched_columns() -> list:
@@ -51,7 +51,7 @@ def numbered(master: DataFrame, key: str) -> DataFrame:
     return master.withColumn(COPY, F.row_number().over(by))
 
 
-def probe(transactions: DataFrame, customers: DataFrame, products: DataFrame, *more: str) -> DataFrame:
+def probe(transactions: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Each line with what the ``numbered`` masters know of it, in one left join with each: ``missing`` names
     the masters that do not know it, ``first`` is true for one row of a line, however often a
     master repeats its keys."""
@@ -61,8 +61,8 @@ def probe(transactions: DataFrame, customers: DataFrame, products: DataFrame, *m
     missing = (F.when(no_customer & no_product, "customer and product")
                .when(no_customer, "customer").when(no_product, "product"))
     first = (F.coalesce("nth_customer", F.lit(1)) == 1) & (F.coalesce("nth_product", F.lit(1)) == 1)
-    return (_lines(transactions, *more).join(who, "customer_id", "left").join(what, "product_id", "left")
-            .select(*_enriched_columns(), *more, missing.alias("missing"), first.alias("first")))
+    return (_lines(transactions).join(who, "customer_id", "left").join(what, "product_id", "left")
+            .select(*_enriched_columns(), missing.alias("missing"), first.alias("first")))
 
 
 def probed_rows(probed: DataFrame) -> DataFrame:
@@ -70,17 +70,17 @@ def probed_rows(probed: DataFrame) -> DataFrame:
     return probed.where("missing IS NULL").drop("missing", "first")
 
 
-def probed_rejects(probed: DataFrame, *more: str) -> DataFrame:
+def probed_rejects(probed: DataFrame) -> DataFrame:
     """The rows of ``unmatched``."""
     return probed.where("missing IS NOT NULL AND first").select(
         F.col("order_id").alias("orderID"), F.col("customer_id").alias("Customer_ID"),
-        F.col("product_id").alias("Product_ID"), "quantity", "order_date", *more, "missing")
+        F.col("product_id").alias("Product_ID"), "quantity", "order_date", "missing")
 
 
-def probed_counts(probed: DataFrame) -> DataFrame:
-    """Lines received, rows enriched and lines dropped."""
-    return probed.agg(F.count_if("first").alias("received"), F.count_if(F.isnull("missing")).alias("joined"),
-                      F.count_if(F.isnotnull("missing") & F.col("first")).alias("dropped"))
+def probed_counts() -> list:
+    """Aggregates over a probe: lines received, rows enriched and lines dropped."""
+    return [F.count_if("first").alias("received"), F.count_if(F.isnull("missing")).alias("joined"),
+            F.count_if(F.isnotnull("missing") & F.col("first")).alias("dropped")]
 
 
 def unmatched(transactions: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Each micro-batch is joined once with each master as an ordinary query, so adaptive
 execution broadcasts a master that is small and splits hot customers when it is
-not. Rows, rejects and counts are read from that one join. A batch overwrites its own folder: a batch
+not. Rows, rejects and counts come from that one join; counts are observed while the rows are written, in
+the tasks that write them, so a task that runs again is counted once. A batch overwrites its own folder: a batch
 that runs again after a failure replaces its rows instead of adding them, and the checkpoint makes it
 run again with the same input. Joining needs no state.
 
@@ -19,7 +20,7 @@ that the batch is finished: readers take the rows of such batches only.
 """
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -85,22 +86,33 @@ def start(transactions: DataFrame, customers: DataFrame, products: DataFrame, si
         spark.createDataFrame([], WAITING).write.mode("ignore").parquet(f"{rejected}/{BATCH}={EMPTY_BATCH}")
     customers, products = _masters(customers, products)
 
+    others: list[DataFrame | None] = []
+
+    def not_taken(batch: DataFrame, query: str) -> DataFrame:
+        """The lines of files no other query has finished. A sink has one running query at a time, so
+        the list is made once, with the first batch."""
+        if not others:
+            taken = (_taken(spark, sink).where(~F.col(BATCH).startswith(f"{query}-"))
+                     .select(SOURCE).distinct())
+            others.append(None if taken.isEmpty() else written(taken, "taken-files"))
+        return batch if others[0] is None else batch.join(others[0], SOURCE, "left_anti")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         name = f"{query}-{batch_id}"
-        others = _taken(spark, sink).where(~F.col(BATCH).startswith(f"{query}-")).select(SOURCE).distinct()
-        fresh = batch.join(others, SOURCE, "left_anti")
-        # joined once, though rows, rejects, files and counts need it; a lost copy is computed again
-        probed = probe(fresh, customers, products, SOURCE).persist()
-        rows = to_table_rows(probed_rows(probed))
+        fresh = not_taken(batch, query)
+        probed = probe(fresh, customers, products)
+        if rejected:  # joined once for rows and rejects; a lost copy is computed again
+            probed = probed.persist()
+        seen = Observation()  # counted while the rows are written, after the joins
+        rows = to_table_rows(probed_rows(probed.observe(seen, *probed_counts())))
         rows.write.mode("overwrite").parquet(f"{sink}/{BATCH}={name}")
         if rejected:
             probed_rejects(probed).write.mode("overwrite").parquet(f"{rejected}/{BATCH}={name}")
-        (probed.where(F.isnotnull(SOURCE)).select(SOURCE).distinct()
+            probed.unpersist()
+        (fresh.where(F.isnotnull(SOURCE)).select(SOURCE).distinct()
          .write.mode("overwrite").parquet(f"{sink}-files/{BATCH}={name}"))
-        _finish(spark, sink, name, tuple(probed_counts(probed).first()))
-        probed.unpersist()
+        _finish(spark, sink, name, tuple(seen.get[n] for n in ("received", "joined", "dropped")))
 
     writer = (_with_source(transactions).writeStream.foreachBatch(write)
               .option("checkpointLocation", checkpoint))
@@ -191,7 +203,7 @@ def release(spark: SparkSession, customers: DataFrame, products: DataFrame, sink
     probed = probe(lines, *_masters(customers, products)).persist()
     to_table_rows(probed_rows(probed)).write.mode("overwrite").parquet(f"{sink}/{BATCH}={name}")
     probed_rejects(probed).write.mode("overwrite").parquet(f"{folder}/lines")
-    received, joined, dropped = probed_counts(probed).first()
+    received, joined, dropped = probed.agg(*probed_counts()).first()
     # the lines were received, and counted as dropped, by the batches that brought them
     _finish(spark, sink, name, (0, joined, dropped - received))
     probed.unpersist()
