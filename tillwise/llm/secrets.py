@@ -40,8 +40,10 @@ class Rule:
 RULES = (
     Rule("assign", 1, r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)"""
                       r"([A-Za-z0-9+/_.=-]+)", 8),
-    Rule("access", 1, r"()(AKIA[A-Z0-9]+)", 16),
-    Rule("hex", 1, r"()([0-9a-f]+)", 32),
+    # a match of these two is all of its run or ends it, so a short one hides no longer one
+    # and the least length can stand in the pattern
+    Rule("access", 1, r"()(AKIA[A-Z0-9]{12,})", 16),
+    Rule("hex", 1, r"()([0-9a-f]{32,})", 32),
 )
 
 # Marks around matches. In the text they are replaced by a character that no rule
@@ -74,11 +76,15 @@ def _pieces(text: Column, rule: Rule) -> Column:
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Ledger rows for ``blobs`` (blob, text, todo: keys of the rules to apply). Offsets are
-    code points, the end is exclusive. Spans are in order of their start."""
+    code points, the end is exclusive. Spans are in order of their start. Only a text in
+    which a rule matches at all is cut into pieces for it."""
+    todo = F.col("todo")
+    whole = F.array(F.struct(F.lit(0).alias("lead"), F.lit(-1).alias("value"), F.lit(0).alias("tail")))
     per_rule = F.array(*[
         F.struct(F.lit(r.key).alias("rule"), F.lit(r.least).alias("least"),
-                 _pieces(F.col("text"), r).alias("pieces")) for r in rules])
-    wanted = F.filter(per_rule, lambda x: F.array_contains(F.col("todo"), x["rule"]))
+                 F.when(F.array_contains(todo, r.key) & F.col("text").rlike(r.pattern),
+                        _pieces(F.col("text"), r)).otherwise(whole).alias("pieces")) for r in rules])
+    wanted = F.filter(per_rule, lambda x: F.array_contains(todo, x["rule"]))
     pieces = (blobs.select("blob", F.explode(wanted).alias("r"))
               .select("blob", "r.rule", "r.least", F.posexplode("r.pieces").alias("at", "p")))
     before = W.partitionBy("blob", "rule").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
@@ -93,6 +99,12 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         F.sort_array(F.collect_list("span")).alias("spans"))
 
 
+def ledger_folder(spark: SparkSession) -> str:
+    """The folder that the session setting ``spark.tillwise.ledger`` names, in which every
+    run finds what earlier ones have scanned; a fresh one without that setting."""
+    return spark.conf.get("spark.tillwise.ledger", None) or working_folder(spark, "ledger")
+
+
 def update_ledger(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES,
                   text: str = "text") -> DataFrame:
     """Scan what the ledger in ``folder`` lacks, append it, and return the ledger.
@@ -189,7 +201,7 @@ def redact(docs: DataFrame, ledger: DataFrame, mark: str = "[SECRET]",
 
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return report(docs, update_ledger(docs, working_folder(spark, "ledger")))
+    return report(docs, update_ledger(docs, ledger_folder(spark)))
 
 
 _SQL_RULES = {  # the same patterns, with the cases spelt out
