@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tillwise.llm import contamination, pieces, quality, secrets, simhash
 from tillwise.llm.tables import keep, table
 from tillwise.llm.vocabulary import vocabulary_path
-from tillwise.session import working_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -29,7 +28,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
-    return secrets.redact(docs, secrets.update_ledger(docs, working_folder(spark, "ledger")))
+    return secrets.redact(docs, secrets.update_ledger(docs, secrets.ledger_folder(spark)))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
