@@ -51,7 +51,7 @@ def plain(rows, threshold=0.93):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("tile", [512, 7])
+@pytest.mark.parametrize("tile", [2048, 40, 7])
 def test_links_and_components_equal_brute_force(spark, tile):
     rows = setting()
     table = spark.createDataFrame([(*r, "n", 1) for r in rows], SCHEMA)
@@ -69,6 +69,17 @@ def test_an_empty_table(spark):
     assert vectors.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_blocks_give_each_pair_once():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3, 12))[rng.integers(0, 3, 1300)] + rng.normal(size=(1300, 12)) * 0.25
+    y = vectors.unit(x).astype(np.float32)
+    true = vectors.unit(x) @ vectors.unit(x).T >= 0.93
+    i, j = vectors.close_in_blocks(y, y, x, x, 0.93, True)
+    assert sorted(zip(i.tolist(), j.tolist())) == sorted(map(tuple, np.argwhere(np.triu(true, 1)).tolist()))
+    i, j = vectors.close_in_blocks(y[:700], y[700:], x[:700], x[700:], 0.93, False)
+    assert sorted(zip(i.tolist(), j.tolist())) == sorted(map(tuple, np.argwhere(true[:700, 700:]).tolist()))
+
+
 def test_pairs_are_given_up_only_below_the_threshold():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 48)) * np.linspace(2, 0.1, 48)

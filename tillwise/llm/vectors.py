@@ -2,7 +2,8 @@
 
 Unit vectors are turned to the principal axes of the corpus, so the leading dimensions carry
 most of a product. Two linked unit vectors are at most ``sqrt(2 - 2 t)`` apart in every
-coordinate, so cells of that width on the first axes only meet their neighbours. A cell is
+coordinate, so cells of that width on the first axes only meet their neighbours. A label is cut
+on as many axes as its size asks for, since every pair of tiles costs a journey of both. A cell is
 dealt into tiles of bounded size, and pairs of tiles are compared: products of the leading
 dimensions first; what the other dimensions can add is at most the product of the suffix
 norms, and a pair is given up as soon as that no longer reaches the threshold. The pairs left
@@ -24,13 +25,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.llm.components import components
 from tillwise.llm.tables import keep, table
 
 THRESHOLD = 0.93
-TILE = 512
+TILE = 2048  # vectors of up to LONG numbers; fewer of longer ones
+LONG = 256
+BLOCK = 512  # rows of a tile that are multiplied at once
 AXES = 3
 STEPS = (8, 16, 32)  # dimensions after which the bound is looked at
 SLACK = 1e-5  # what single precision may be off in a bound
@@ -116,9 +120,21 @@ def tiles(nodes: DataFrame, threshold: float, tile: int) -> DataFrame:
     placed = keep(nodes.mapInPandas(
         place, f"label {kind}, size int, node string, copies long, "
         + "".join(f"{c} int, " for c in _CELL) + "turned binary, x binary"), "placed")
-    cell = ["label", "size", *_CELL]
-    parts = placed.groupBy(cell).agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
-    dealt = placed.join(parts, cell).withColumn("sub", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    # from the counts of the finest cells: the axes that a label needs, and the tiles of what
+    # is then a cell; an axis at least about halves a label
+    fine = [f"fine_{c}" for c in _CELL]
+    placed = placed.withColumnsRenamed(dict(zip(_CELL, fine)))
+    label, cell = ["label", "size"], ["label", "size", *_CELL]
+    cells = placed.groupBy(*label, *fine).count()
+    room = tile / F.greatest(F.col("size") / LONG, F.lit(1.0))
+    needed = F.ceil(F.log2(F.sum("count").over(W.partitionBy(label)) / room))
+    cells = cells.withColumn("needed", needed).withColumns({
+        c: F.when(F.col("needed") > i, F.col(f)).otherwise(0)
+        for i, (c, f) in enumerate(zip(_CELL, fine))})
+    parts = F.ceil(F.sum("count").over(W.partitionBy(cell)) / room).cast("int")
+    cells = cells.select(*label, *fine, *_CELL, parts.alias("parts"))
+    dealt = (placed.join(cells, [*label, *fine])
+             .withColumn("sub", F.pmod(F.xxhash64("node"), "parts").cast("int")))
     return keep(dealt.groupBy(_KEY).agg(F.collect_list(F.struct(
         "node", "copies", "turned", "x")).alias("rows")), "tiles")
 
@@ -175,6 +191,20 @@ def close_pairs(ya: np.ndarray, yb: np.ndarray, xa: np.ndarray, xb: np.ndarray,
     return i[true], j[true]
 
 
+def close_in_blocks(ya: np.ndarray, yb: np.ndarray, xa: np.ndarray, xb: np.ndarray,
+                    threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``close_pairs`` block by block, so that products stay small; with ``same`` both tiles are
+    one and a pair is given once."""
+    found = []
+    for p in range(0, len(ya), BLOCK):
+        for q in range(p if same else 0, len(yb), BLOCK):
+            i, j = close_pairs(ya[p:p + BLOCK], yb[q:q + BLOCK], xa[p:p + BLOCK], xb[q:q + BLOCK],
+                               threshold)
+            found.append((i + p, j + q))
+    i, j = (np.concatenate(side) for side in zip(*found))
+    return (i[i < j], j[i < j]) if same else (i, j)
+
+
 def grouped(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest row each of ``n`` rows is connected with."""
     least = np.arange(n)
@@ -201,11 +231,10 @@ def _compare(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa
             names, copies, ya, xa = _unpacked(row["a_rows"])
             n = len(names)
             if row["same"]:
-                i, j = close_pairs(ya, ya, xa, xa, threshold)
-                i, j = i[i < j], j[i < j]
+                i, j = close_in_blocks(ya, ya, xa, xa, threshold, True)
             else:
                 more, more_copies, yb, xb = _unpacked(row["b_rows"])
-                i, j = close_pairs(ya, yb, xa, xb, threshold)
+                i, j = close_in_blocks(ya, yb, xa, xb, threshold, False)
                 names, copies, j = names + more, np.append(copies, more_copies), j + n
             if not len(i):
                 continue
@@ -227,14 +256,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
         F.first("label").alias("label"), F.first("x").alias("x")), "nodes")
     found = tiles(nodes.select("node", "copies", "label", "x"), threshold, tile)
     pairs = keep(tile_pairs(found), "pairs")
-    for side in ("a", "b"):
-        blobs = found.select(*[F.col(k).alias(f"{side}_{k}") for k in _KEY],
-                             F.col("rows").alias(f"{side}_rows"))
-        pairs = pairs.join(blobs, [f"{side}_{k}" for k in _KEY])
     same = F.lit(True)
     for k in _KEY:
         same = same & (F.col(f"a_{k}") == F.col(f"b_{k}"))
-    links = keep(pairs.select("a_rows", "b_rows", same.alias("same")).mapInArrow(
+    alone, others = pairs.where(same), pairs.where(~same)
+    def rows_of(pairs: DataFrame, side: str) -> DataFrame:
+        blobs = found.select(*[F.col(k).alias(f"{side}_{k}") for k in _KEY],
+                             F.col("rows").alias(f"{side}_rows"))
+        return pairs.join(blobs, [f"{side}_{k}" for k in _KEY])
+    travelled = (rows_of(alone, "a").select("a_rows", F.lit(None).alias("b_rows"), F.lit(True).alias("same"))
+                 .union(rows_of(rows_of(others, "a"), "b").select("a_rows", "b_rows", F.lit(False))))
+    links = keep(travelled.mapInArrow(
         lambda b: _compare(b, threshold), "node string, links long, root string"), "links")
     groups = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = keep(
