@@ -79,3 +79,12 @@ def test_year_prunes_fact_folders(shop, tmp_path):
     w = warehouse.build(shop.tables(LINES), str(tmp_path))
     plan = star.quarter_gender_age(w, 2020)._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(sale_year" in plan
+
+
+def test_numbering_and_writing_the_fact_share_a_shuffle(spark, shop, tmp_path):
+    t = shop.tables([(1, 1, "P1", 1, "2016-01-04"), (1, 1, "P1", 1, "2017-01-04")])
+    dims = warehouse.dimensions(t)
+    plan = warehouse.with_sales_key(warehouse.fact_rows(t, dims))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" not in plan and "RepartitionByExpression [sale_year" in plan
+    w = warehouse.build(t, str(tmp_path))
+    assert w.fact_sales.select("sales_key").distinct().count() == 2

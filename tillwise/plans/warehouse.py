@@ -19,6 +19,7 @@ from tillwise.tables import RetailTables
 
 TABLES = ["dim_customer", "dim_product", "dim_store", "dim_supplier", "dim_date", "fact_sales"]
 FACT_PARTITION = "sale_year"
+FACT_PARTS = 64  # parts of a year in which the fact is numbered and written
 
 
 @dataclass(frozen=True)
@@ -117,10 +118,14 @@ def fact_rows(t: RetailTables, dims: dict[str, DataFrame]) -> DataFrame:
 def with_sales_key(fact: DataFrame) -> DataFrame:
     """A 64-bit key from the line's identity, its dimension keys, its quantity and, for lines equal
     in all of these, their number: the same however often and wherever a task runs. The
-    numbering costs one shuffle of the fact; ``key_report`` would show a chance collision."""
+    numbering costs one shuffle of the fact; ``key_report`` would show a chance collision.
+
+    That shuffle is by year and by a part of the year, which equal lines share, so its rows come out
+    sorted by year and can be written as they are."""
     parts = ["row_index", *(c for c in fact.columns if c.endswith("_key")), "quantity"]
-    nth = F.row_number().over(W.partitionBy(*parts).orderBy("revenue"))
-    return (fact.withColumn("nth", nth)
+    dealt = fact.withColumn("part", F.pmod(F.xxhash64(*parts), F.lit(FACT_PARTS)))
+    nth = F.row_number().over(W.partitionBy(FACT_PARTITION, "part", *parts).orderBy("revenue"))
+    return (dealt.repartition(FACT_PARTITION, "part").withColumn("nth", nth)
             .select(F.xxhash64(*parts, "nth").alias("sales_key"),
                     *[c for c in fact.columns if c != "row_index"]))
 
@@ -134,8 +139,7 @@ def build(t: RetailTables, folder: str) -> Warehouse:
             f"{folder}/{name}"), dims))
     written = {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES[:-1]}
     fact = with_sales_key(fact_rows(t, written))
-    (fact.hint("rebalance", FACT_PARTITION)
-     .write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(f"{folder}/fact_sales"))
+    fact.write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(f"{folder}/fact_sales")
     return load(spark, folder)
 
 
