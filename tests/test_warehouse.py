@@ -81,6 +81,26 @@ def test_year_prunes_fact_folders(shop, tmp_path):
     assert "PartitionFilters: [isnotnull(sale_year" in plan
 
 
+def test_products_listed_at_two_prices_are_one_product_in_the_star_reports(spark, shop, tmp_path):
+    goods = [("P1", "Toys", "10.00", 1, 7), ("P1", "Toys", "30.00", 1, 7), ("P1", None, "1.00", 1, 7),
+             ("P2", "Toys", "39.00", 1, 8)]
+    lines = [(1, 1, "P1", 1, "2016-01-04"), (2, 1, "P2", 1, "2016-01-05"), (3, 2, "P1", 1, "2016-02-02"),
+             (3, 2, "P1", 1, "2016-02-02")]
+    # each line meets the three rows of P1 once for each of them
+    w = warehouse.build(shop.tables(lines, products=goods), str(tmp_path))
+    best = [tuple(r) for r in star.top_products(w, 3).collect()]
+    assert best == [(2016, 2, "Weekday", "P1", "Toys", D("240.00")),
+                    (2016, 1, "Weekday", "P1", "Toys", D("120.00")),
+                    (2016, 1, "Weekday", "P2", "Toys", D("39.00"))]
+    assert [tuple(r) for r in star.top_products_of_year(w, 2016, 2).collect()] == [r[1:] for r in best[:2]]
+    assert [(r.product_id, r.product_category, r.season, r.total_sales)
+            for r in star.product_month_season(w).collect() if r.product_category] == [
+        ("P1", "Toys", "Winter", D("120.00")), ("P1", "Toys", "Winter", D("240.00")),
+        ("P2", "Toys", "Winter", D("39.00"))]
+    assert [(r.product_id, r.total_sales, r.avg_daily_sales) for r in star.daily_flag(w).collect()] == [
+        ("P1", D("369.00"), D("184.500")), ("P2", D("39.00"), D("39.000"))]
+
+
 def test_numbering_and_writing_the_fact_share_a_shuffle(spark, shop, tmp_path):
     t = shop.tables([(1, 1, "P1", 1, "2016-01-04"), (1, 1, "P1", 1, "2017-01-04")])
     dims = warehouse.dimensions(t)
@@ -88,3 +108,11 @@ def test_numbering_and_writing_the_fact_share_a_shuffle(spark, shop, tmp_path):
     assert "RebalancePartitions" not in plan and "RepartitionByExpression [sale_year" in plan
     w = warehouse.build(t, str(tmp_path))
     assert w.fact_sales.select("sales_key").distinct().count() == 2
+
+
+def test_star_reports_do_not_add_up_lines_under_names(spark, shop, tmp_path):
+    w = warehouse.build(shop.tables([(1, 1, "P1", 1, "2016-01-04")]), str(tmp_path))
+    for report in (star.top_products, star.top_products_of_year, star.product_month_season, star.daily_flag):
+        plan = report(w)._jdf.queryExecution().optimizedPlan().toString()
+        sums = [line for line in plan.split("\n") if "Aggregate [" in line and "sum(" in line]
+        assert sums and not any("product_id" in line for line in sums)

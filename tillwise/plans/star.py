@@ -6,6 +6,7 @@ per-group top lists, calendar instead of existing months.
 """
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar as cal
@@ -14,6 +15,7 @@ from tillwise.operators.baskets import basket_lines, top_pairs
 from tillwise.operators.growth import with_previous_month
 from tillwise.operators.ranking import top_k
 from tillwise.plans.warehouse import FACT_PARTITION, Warehouse
+from tillwise.session import written
 from tillwise.tables import RetailTables
 
 PRODUCT = ["product_id", "product_category"]
@@ -23,13 +25,13 @@ DEMOGRAPHIC_YEAR, GROWTH_YEAR, RECENT_YEAR, AFTER_MONTH = 2015, 2016, 2017, 7
 
 
 def _facts(w: Warehouse, *dims: str, year: int | None = None,
-           also: tuple[str, ...] = ()) -> DataFrame:
+           also: tuple[str, ...] = (), facts: DataFrame | None = None) -> DataFrame:
     """Cents, units and lines per combination of the ``dims`` (and ``also``), with their columns.
 
-    The fact is added up under the surrogate keys before it meets a dimension, so a product or
-    customer with a third of all lines is one row per task and key when it is shuffled.
+    The fact (or ``facts``) is added up under the surrogate keys before it meets a dimension, so a product
+    or customer with a third of all lines is one row per task and key when it is shuffled.
     """
-    facts = w.fact_sales
+    facts = w.fact_sales if facts is None else facts
     if year is not None:
         # the fact is stored by year, so this drops whole folders
         facts = facts.where(F.col(FACT_PARTITION) == year)
@@ -42,15 +44,45 @@ def _facts(w: Warehouse, *dims: str, year: int | None = None,
     return facts
 
 
+def _products_as(w: Warehouse, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The fact in which all products of the same ``columns`` have one key, and those keys with their ``columns``.
+
+    Sums by that key are sums by ``columns``, so they need not be added up once more under the names.
+    Only products listed more than once, say at two prices, change their key; they are written, so
+    that Spark sees how few they are, and the fact is left as it is where there are none.
+    """
+    keyed = w.dim_product.select("product_key", *columns).withColumn(
+        "first_key", F.min("product_key").over(W.partitionBy(*columns)))
+    moved = written(keyed.where("product_key <> first_key").select("product_key", "first_key"), "product-keys")
+    if moved.isEmpty():
+        return w.fact_sales, w.dim_product.select("product_key", *columns)
+    facts = (w.fact_sales.join(moved, "product_key", "left")
+             .withColumn("product_key", F.coalesce("first_key", "product_key")).drop("first_key"))
+    return facts, w.dim_product.join(moved, "product_key", "left_anti").select("product_key", *columns)
+
+
 def _sum(name: str, where: Column | None = None) -> Column:
     cents = F.col("cents") if where is None else F.when(where, F.col("cents")).otherwise(0)
     return from_cents(F.sum(cents)).alias(name)
 
 
+def _best_products(w: Warehouse, periods: list[str], k: int, year: int | None = None) -> DataFrame:
+    """The ``k`` products and ``periods`` of the highest revenue. A period goes by its first date key until
+    its sums have met their product, which keeps what is shuffled narrow."""
+    facts, products = _products_as(w, PRODUCT)
+    dates = w.dim_date.select("date_key", *periods, F.min("date_key").over(W.partitionBy(*periods)).alias("period"))
+    dates = written(dates, "periods")
+    sales = (_facts(w, year=year, also=("product_key", "date_key"), facts=facts)
+             .join(dates.select("date_key", "period"), "date_key")
+             .groupBy("product_key", "period").agg(F.sum("cents").alias("cents"))
+             .join(products, "product_key")
+             .join(dates.where("date_key = period").drop("date_key"), "period")
+             .select(*periods, *PRODUCT, from_cents(F.col("cents")).alias("total_revenue")))
+    return top_k(sales, [F.desc("total_revenue"), *map(F.col, [*periods, *PRODUCT])], k)
+
+
 def top_products(w: Warehouse, k: int = 5) -> DataFrame:
-    keys = ["year", "month", "weekday_flag", *PRODUCT]
-    sales = _facts(w, "product", "date").groupBy(*keys).agg(_sum("total_revenue"))
-    return top_k(sales, [F.desc("total_revenue"), *map(F.col, keys)], k)
+    return _best_products(w, ["year", "month", "weekday_flag"], k)
 
 
 def demographics(w: Warehouse) -> DataFrame:
@@ -107,9 +139,7 @@ def age_weekday(w: Warehouse) -> DataFrame:
 
 
 def top_products_of_year(w: Warehouse, year: int = GROWTH_YEAR, k: int = 5) -> DataFrame:
-    keys = ["month", "weekday_flag", *PRODUCT]
-    sales = _facts(w, "product", "date", year=year).groupBy(*keys).agg(_sum("total_revenue"))
-    return top_k(sales, [F.desc("total_revenue"), *map(F.col, keys)], k)
+    return _best_products(w, ["month", "weekday_flag"], k, year)
 
 
 def store_quarters_of_year(w: Warehouse, year: int = RECENT_YEAR) -> DataFrame:
@@ -125,8 +155,12 @@ def store_supplier_category(w: Warehouse) -> DataFrame:
 
 def product_month_season(w: Warehouse) -> DataFrame:
     """One row per product and month of the year, under the season's name."""
-    return (_facts(w, "product", "date").groupBy(*PRODUCT, "month", "quarter")
-            .agg(_sum("total_sales"))
+    facts, products = _products_as(w, PRODUCT)
+    # the few dates meet the lines, so that these are added up once
+    dated = facts.join(w.dim_date.select("date_key", "month", "quarter"), "date_key")
+    return (dated.withColumn("cents", to_cents(F.col("revenue")))
+            .groupBy("product_key", "month", "quarter").agg(_sum("total_sales"))
+            .join(products, "product_key")
             .withColumn("season", cal.season(F.col("month")))
             .orderBy("product_id", "season", "month")
             .select(*PRODUCT, "season", "quarter", "total_sales"))
@@ -175,8 +209,10 @@ def product_halves(w: Warehouse) -> DataFrame:
 def daily_flag(w: Warehouse) -> DataFrame:
     """Product totals against twice their average selling day."""
     mean = F.round(F.try_divide(F.col("total_sales"), F.col("no_of_days")), 3)
-    return (_facts(w, "product", also=("date_key",)).groupBy("product_id")
+    facts, products = _products_as(w, ["product_id"])
+    return (facts.withColumn("cents", to_cents(F.col("revenue"))).groupBy("product_key")
             .agg(_sum("total_sales"), F.count_distinct("date_key").alias("no_of_days"))
+            .join(products, "product_key").drop("product_key")
             .withColumn("avg_daily_sales", mean.cast("decimal(24,3)"))
             .withColumn("twice_daily_avg_sales",
                         (F.col("avg_daily_sales") * F.lit(2)).cast("decimal(24,3)"))
