@@ -214,3 +214,14 @@ def test_trend_words(spark):
         "UP", "up", "flat", "down", "DOWN", "-"]
     assert [r[0] for r in df.select(labels.above(F.col("v"), *labels.STORE_RATING)).collect()] == [
         "Excellent", "Good", "Needs Attention", "Critical", "Critical", "Insufficient Data"]
+
+
+def test_store_quarters_copy_no_line_for_their_counts(shop):
+    from tillwise.plans import stores, trends
+
+    t = shop.tables([(1, 1, "P1", 2, "2020-01-04"), (1, None, "P1", 1, "2020-01-04"), (2, 2, "P2", None, None)])
+    for report in (stores.store_quarters(t), trends.store_quarter_growth(t, 2020)):
+        assert "Expand" not in report._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.year_quarter: (r.total_orders, r.unique_customers, r.total_quantity, r.products_sold)
+           for r in stores.store_quarters(t).collect()}
+    assert got == {"2020-Q1": (1, 1, 3, 1), None: (1, 1, None, 1)}

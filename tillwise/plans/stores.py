@@ -84,19 +84,18 @@ def store_summary(t: RetailTables, year: int | None = None) -> DataFrame:
 
 # --- quarterly view ---
 
-def store_quarters(t: RetailTables) -> DataFrame:
+def _view(counts: DataFrame) -> DataFrame:
     year, quarter = F.col("sales_year"), F.col("sales_quarter")
-    return (t.sold()
-            .groupBy(*STORE, F.year("order_date").alias("sales_year"),
-                     F.quarter("order_date").alias("sales_quarter"))
-            .agg(m.orders(), m.buyers(), m.units(), m.revenue("total_sales"),
-                 m.mean_amount("avg_order_value"), m.distinct("Product_ID", "products_sold"),
-                 m.distinct("supplierID", "suppliers_involved"))
-            .withColumn("year_quarter", F.concat(year, F.lit("-Q"), quarter))
-            .select(*STORE, "sales_year", "sales_quarter", "year_quarter", "total_orders",
-                    "unique_customers", "total_quantity", "total_sales", "avg_order_value",
-                    "products_sold", "suppliers_involved")
-            .orderBy("storeName", "sales_year", "sales_quarter", "storeID"))
+    return counts.select(
+        *QUARTER, F.concat(year, F.lit("-Q"), quarter).alias("year_quarter"), "total_orders",
+        "unique_customers", F.col("quantity").alias("total_quantity"), m.added_revenue("total_sales"),
+        m.added_mean("avg_order_value"), "products_sold", "suppliers_involved")
+
+
+def store_quarters(t: RetailTables) -> DataFrame:
+    """Each distinct count is a pass of its own, so no task holds a copy of its lines for each of them."""
+    counts = counted(quarter_states(t), QUARTER, list(COUNTED), m.SUMS)
+    return _view(counts).orderBy("storeName", "sales_year", "sales_quarter", "storeID")
 
 
 # --- the view, stored and kept up to date ---
@@ -140,12 +139,7 @@ def stored(spark: SparkSession, folder: str) -> bool:
 
 def stored_quarters(spark: SparkSession, folder: str) -> DataFrame:
     """The view from its stored states."""
-    counts = counted(spark.read.parquet(folder), QUARTER, list(COUNTED), m.SUMS)
-    year, quarter = F.col("sales_year"), F.col("sales_quarter")
-    return counts.select(
-        *QUARTER, F.concat(year, F.lit("-Q"), quarter).alias("year_quarter"), "total_orders",
-        "unique_customers", F.col("quantity").alias("total_quantity"), m.added_revenue("total_sales"),
-        m.added_mean("avg_order_value"), "products_sold", "suppliers_involved")
+    return _view(counted(spark.read.parquet(folder), QUARTER, list(COUNTED), m.SUMS))
 
 
 def create_quarterly_view(t: RetailTables, name: str = QUARTERLY_VIEW) -> None:
@@ -168,15 +162,26 @@ def quarterly_preview(t: RetailTables, k: int = 20) -> DataFrame:
     return store_quarters(t).limit(k)
 
 
+def _quarter_sales(t: RetailTables, **ids: str) -> DataFrame:
+    """Rows of the view with the distinct counts ``ids`` alone."""
+    year, quarter = F.year("order_date").alias("sales_year"), F.quarter("order_date").alias("sales_quarter")
+    if ids:
+        sales = m.counted_lines(t.sold().select("*", year, quarter), QUARTER, **ids).select(
+            *QUARTER, *ids, m.added_revenue("total_sales"))
+    else:
+        sales = t.sold().groupBy(*STORE, year, quarter).agg(m.revenue("total_sales"))
+    return sales.withColumn("year_quarter", F.concat("sales_year", F.lit("-Q"), "sales_quarter"))
+
+
 def store_totals(t: RetailTables, k: int = 10) -> DataFrame:
-    totals = store_quarters(t).groupBy(*STORE).agg(
+    totals = _quarter_sales(t).groupBy(*STORE).agg(
         F.sum("total_sales").cast("decimal(20,2)").alias("total_revenue"))
     return (top_k(totals, [F.desc("total_revenue"), "storeName", "storeID"], k)
             .select("storeName", "total_revenue"))
 
 
 def quarter_trend(t: RetailTables) -> DataFrame:
-    return (store_quarters(t).groupBy("sales_year", "sales_quarter", "year_quarter")
+    return (_quarter_sales(t, total_orders="orderID").groupBy("sales_year", "sales_quarter", "year_quarter")
             .agg(F.sum("total_sales").cast("decimal(20,2)").alias("quarterly_total"),
                  F.sum("total_orders").alias("total_orders"))
             .orderBy("sales_year", "sales_quarter")
@@ -184,7 +189,7 @@ def quarter_trend(t: RetailTables) -> DataFrame:
 
 
 def best_quarters(t: RetailTables, k: int = 10) -> DataFrame:
-    best = top_k_per_group(store_quarters(t), ["storeID"],
+    best = top_k_per_group(_quarter_sales(t), ["storeID"],
                            [F.desc("total_sales"), F.col("sales_year"), F.col("sales_quarter"),
                             F.col("storeName")], 1, "rn")
     return (top_k(best, [F.desc("total_sales"), "storeName", "storeID"], k)
