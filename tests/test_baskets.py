@@ -82,3 +82,15 @@ def test_one_plan_for_all_sizes(spark):
         text = baskets._pairs_by_basket(held.withColumn("common", F.lit(False)), 16)._jdf.queryExecution().optimizedPlan().toString()
         plans.append([line.strip(" +-:").split(" ")[0] for line in text.split("\n")])
     assert plans[0] == plans[1]
+
+
+def test_tasks_follow_the_pairs_and_not_the_bytes(spark, monkeypatch):
+    from tillwise.operators import baskets
+
+    monkeypatch.setattr(baskets, "TASK_PAIRS", 100)
+    lines = spark.range(4000).select(F.struct((F.col("id") % 1000).alias("b")).alias("basket"),
+                                     F.concat(F.lit("i"), F.col("id") % 997).alias("item"))
+    top = baskets.top_pairs(lines, 5)
+    # 1,000 baskets of four items
+    assert "RepartitionByExpression [basket" in (plan := top._jdf.queryExecution().optimizedPlan().toString())
+    assert "], 60" in plan

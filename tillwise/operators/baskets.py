@@ -33,6 +33,8 @@ PILOT = 64
 CHEAP = 8
 SHARE = 8
 BUCKET = 4096  # baskets whose bits are numbered together
+TASK_PAIRS = 1_000_000  # pairs that a task makes, on average
+MOST_TASKS = 20_000
 
 
 def basket_lines(df: DataFrame, basket: list[str], item: str) -> DataFrame:
@@ -53,15 +55,17 @@ def top_pairs(lines: DataFrame, k: int, weighted: bool = False, at_least: int =
         F.coalesce(F.sum("n"), F.lit(0.0))).first())
     common = written(held.groupBy("item").agg(F.count("*").alias("n"))
                      .where(F.col("n") * SHARE >= baskets).select("item"), "common-items")
+    # the pairs of a task are many for the bytes it reads, so their number says how many tasks there are
+    tasks = int(min(max(pairs / TASK_PAIRS, lines.sparkSession.sparkContext.defaultParallelism), MOST_TASKS))
     if pairs > CHEAP * size:
         reach = written(_reach(held, weighted), "item-reach")
         leaders = reach.orderBy(F.desc("reach"), "item").limit(pilot).select("item")
-        best = (_count_pairs(held.join(leaders, "item", "left_semi"), common, baskets, block)
+        best = (_count_pairs(held.join(leaders, "item", "left_semi"), common, baskets, block, tasks)
                 .orderBy(F.desc("times")).limit(k))
         floor = best.agg(F.when(F.count("*") == k, F.min("times")).alias("kth")).scalar()
         hopeful = reach.where(F.col("reach") >= F.greatest(floor, F.lit(at_least))).select("item")
         held = held.join(hopeful, "item", "left_semi")
-    return (_count_pairs(held, common, baskets, block).where(F.col("times") >= at_least)
+    return (_count_pairs(held, common, baskets, block, tasks).where(F.col("times") >= at_least)
             .orderBy(F.desc("times"), "item_1", "item_2").limit(k))
 
 
@@ -80,16 +84,17 @@ def _reach(held: DataFrame, weighted: bool) -> DataFrame:
             .agg(F.sum(F.col("weight") * F.col("heaviest")).alias("reach")))
 
 
-def _count_pairs(held: DataFrame, common: DataFrame, baskets: int, block: int) -> DataFrame:
+def _count_pairs(held: DataFrame, common: DataFrame, baskets: int, block: int,
+                 tasks: int) -> DataFrame:
     """Counts of all pairs of ``held`` (basket, item, weight); ``common`` are the items to take as bitmaps."""
     marked = held.join(common.withColumn("common", F.lit(True)), "item", "left").withColumn(
         "common", F.coalesce("common", F.lit(False)))
     if common.isEmpty():
-        return _pairs_by_basket(marked, block)
+        return _pairs_by_basket(marked, block, tasks)
     by_word = _pairs_by_word(marked.where("common"), baskets)
     if held.join(common, "item", "left_anti").isEmpty():
         return by_word
-    return by_word.unionByName(_pairs_by_basket(marked, block))
+    return by_word.unionByName(_pairs_by_basket(marked, block, tasks))
 
 
 def _pairs_by_word(held: DataFrame, baskets: int) -> DataFrame:
@@ -114,14 +119,14 @@ def _pairs_by_word(held: DataFrame, baskets: int) -> DataFrame:
             .agg(F.sum(times).alias("times")).where("times > 0"))
 
 
-def _pairs_by_basket(held: DataFrame, block: int) -> DataFrame:
-    """Counts of all pairs but those of two ``common`` items, basket by basket."""
+def _pairs_by_basket(held: DataFrame, block: int, tasks: int | None = None) -> DataFrame:
+    """Counts of all pairs but those of two ``common`` items, basket by basket, made in ``tasks`` tasks."""
     blocks = held.groupBy("basket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
     dealt = (held.join(blocks, "basket").withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    groups = (dealt.groupBy("basket", F.least("own", "other").alias("low"),
-                            F.greatest("own", "other").alias("high"))
+    dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    groups = (dealt.repartition(*filter(None, [tasks]), "basket", "low", "high").groupBy("basket", "low", "high")
               .agg(F.sort_array(F.collect_list(F.struct("common", "item", "weight", "own"))).alias("items")))
     # common items come last, so those that are not have all their partners after them
     firsts = groups.where(F.size("items") > 1).select(
