@@ -225,3 +225,15 @@ def test_store_quarters_copy_no_line_for_their_counts(shop):
     got = {r.year_quarter: (r.total_orders, r.unique_customers, r.total_quantity, r.products_sold)
            for r in stores.store_quarters(t).collect()}
     assert got == {"2020-Q1": (1, 1, 3, 1), None: (1, 1, None, 1)}
+
+
+def test_orders_of_a_product_are_counted_in_as_many_tasks_as_lines_ask_for(shop, monkeypatch):
+    from tillwise import tables
+    monkeypatch.setattr(tables, "TASK_LINES", 1, raising=False)
+    rows = [(n, 1, "P1", 1, "2020-01-01") for n in range(20)]
+    rows += [(1, 2, "P1", 2, "2020-01-01"), (None, 1, "P1", 4, "2020-01-01"), (1, 1, "P1", 8, "2020-07-01"),
+             (1, 1, "P2", 1, None), (1, 1, None, 1, "2020-01-01")]
+    got = assortment.product_seasons(shop.tables(rows))
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().toString()
+    found = sorted(((r.Product_ID, r.total_quantity, r.total_orders) for r in got.collect()), key=repr)
+    assert found == [("P1", 26, 20), ("P1", 8, 1), ("P2", 1, 1)]

@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.money import to_cents
 
+TASK_LINES = 250_000  # lines that a task counts orders of, on average
+MOST_TASKS = 20_000
+
+
+def _tasks(lines: DataFrame) -> int:
+    fewest = lines.sparkSession.sparkContext.defaultParallelism
+    return min(max(-(-lines.count() // TASK_LINES), fewest), MOST_TASKS)
+
 
 @dataclass(frozen=True)
 class RetailTables:
@@ -51,12 +59,22 @@ class RetailTables:
         The transactions are added up under the bare id before they meet the product,
         so a product sold in a third of all lines is one row per task when it is
         shuffled, and however large the product master is, no single transaction is
-        shuffled to it.
+        shuffled to it. Few lines share product and order, so for ``orders`` the lines are
+        dealt out by both first, to as many tasks as there are lines for.
         """
-        units = F.sum(F.col("quantity").cast("bigint")).alias("units")
-        counts = [F.count_distinct("orderID").alias("orders")] if orders else []
-        return (self.lines(where).groupBy("Product_ID", *by).agg(units, *counts)
-                .join(self.product_listing(keys), "Product_ID")
+        lines = self.lines(where)
+        quantity = F.col("quantity").cast("bigint")
+        if orders:
+            keys_of = [b if isinstance(b, Column) else F.col(b) for b in by]
+            lines = lines.select("Product_ID", "orderID", "quantity", *keys_of)
+            by = lines.columns[3:]
+            found = (lines.repartition(_tasks(lines), "Product_ID", "orderID")
+                     .groupBy("Product_ID", *by, "orderID").agg(F.sum(quantity).alias("units"))
+                     .groupBy("Product_ID", *by).agg(F.sum("units").alias("units"),
+                                                     F.count("orderID").alias("orders")))
+        else:
+            found = lines.groupBy("Product_ID", *by).agg(F.sum(quantity).alias("units"))
+        return (found.join(self.product_listing(keys), "Product_ID")
                 .withColumn("quantity", F.col("units") * F.col("copies"))
                 .withColumn("amount_cents", F.col("units") * F.col("price_cents")))
 
