@@ -33,3 +33,28 @@ def test_running_reports_equal_the_batch_after_a_restart(spark, tmp_path):
             want = of_rows(batch)
             got = running.report(spark, str(tmp_path / "out"), name).select(*want.columns)
             assert plain(got) == plain(want), (nth, name)
+
+
+def test_masters_are_joined_once_a_batch_for_all_reports(spark, tmp_path):
+    customers, products = masters(spark)
+    write_lines(tmp_path / "in", "0.csv", LINES)
+    stream = files.csv_stream(spark, str(tmp_path / "in"), files_per_batch=1)
+    queries = running.start(stream, customers, products, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    for query in queries:
+        query.awaitTermination()
+    plans = [q._jsq.explainInternal(False) for q in queries]
+    assert [("Join" in p, "StateStoreSave" in p) for p in plans] == [(True, False)] + [(False, True)] * 4
+
+
+def test_reports_are_empty_while_no_line_meets_its_masters(spark, tmp_path):
+    customers, products = masters(spark)
+    write_lines(tmp_path / "in", "0.csv", [(1, 5, "nothing", 1, "2020-01-01")])
+
+    def follow():
+        stream = files.csv_stream(spark, str(tmp_path / "in"), files_per_batch=1)
+        running.run_to_end(stream, customers, products, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    follow()
+    assert all(running.report(spark, str(tmp_path / "out"), name).isEmpty() for name in running.KEYS)
+    write_lines(tmp_path / "in", "1.csv", LINES)
+    follow()
+    assert running.report(spark, str(tmp_path / "out"), "city_gender").count() > 0

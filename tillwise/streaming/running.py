@@ -1,10 +1,13 @@
 """Reports that follow the stream: states added up batch by batch, read at any time.
 
-Each report is a streaming aggregation over the enriched lines, so Spark keeps its groups in the state
+The stream meets the masters once: a first query writes what the reports need of each enriched line, and the
+reports follow what it has written, so masters are broadcast or shuffled once a batch and not once for each
+report. Each report is a streaming aggregation over those lines, so Spark keeps its groups in the state
 store and a batch only touches the groups it has lines for. A batch writes those groups, with their
 totals so far, to its own folder; a batch that runs again after a failure overwrites it, and the
 checkpoint gives it the same lines and the same state. The report of now is each group's latest
-row. Groups are few against the lines: one per customer, city, category or month.
+row. Groups are few against the lines: one per customer, city, category or month. Checkpoints and folders
+of the earlier form, in which each report joined the masters itself, cannot be continued.
 """
 
 from collections.abc import Callable
@@ -25,24 +28,33 @@ KEYS: dict[str, Callable[[], list[Column]]] = {
     "category_by_age": lambda: [F.col("age"), F.col("product_category")],
     "monthly_trend": lambda: [cal.month_start(F.col("order_date")).alias("start")]}
 
+LINES = "lines"
+# The columns that the reports need of an enriched line.
+COLUMNS = ["customer_id", "gender", "age", "city_category", "product_category", "order_date", "total_amount"]
+
 
 def start(transactions: DataFrame, customers: DataFrame, products: DataFrame, folder: str, checkpoint: str,
           interval: str | None = None) -> list[StreamingQuery]:
     """Start the four reports over a stream of ``transactions``. Without ``interval`` they take everything
-    available and stop."""
+    available and stop; the lines are then written before this returns."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     cents = to_cents(F.col("total_amount"))
+    lines = enrich(transactions, customers, products).select(*COLUMNS)
+    joined = (lines.writeStream.format("parquet").option("path", f"{folder}/{LINES}")
+              .option("checkpointLocation", f"{checkpoint}/{LINES}").trigger(**trigger).start())
+    if not interval:
+        joined.awaitTermination()
 
     def follow(name: str) -> StreamingQuery:
-        totals = enrich(transactions, customers, products).groupBy(*KEYS[name]()).agg(
-            F.count("*").alias("lines"), F.sum(cents).alias("cents"))
+        written = transactions.sparkSession.readStream.schema(lines.schema).parquet(f"{folder}/{LINES}")
+        totals = written.groupBy(*KEYS[name]()).agg(F.count("*").alias("lines"), F.sum(cents).alias("cents"))
 
         def write(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(f"{folder}/{name}/{BATCH}={batch_id}")
 
         return (totals.writeStream.outputMode("update").foreachBatch(write)
                 .option("checkpointLocation", f"{checkpoint}/{name}").trigger(**trigger).start())
-    return [follow(name) for name in KEYS]
+    return [joined, *(follow(name) for name in KEYS)]
 
 
 def run_to_end(*args, **kwargs) -> None:
