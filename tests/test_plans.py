@@ -89,3 +89,8 @@ def test_the_fact_is_added_up_before_it_meets_a_dimension(spark, name):
               and "revenue" in line)
     above = next(line for line in reversed(lines[:at]) if "Join " in line or "Aggregate " in line)
     assert "Aggregate " in above
+
+
+def test_late_lines_are_marked_by_their_batch(spark):
+    text = plan(spark, "s09_late_customers")
+    assert "transaction_id" not in text and "batch_id" in text

@@ -155,9 +155,10 @@ def _finished(spark: SparkSession, sink: str, folder: str) -> DataFrame:
     return rows.join(batches(spark, sink).select(BATCH), BATCH, "left_semi")
 
 
-def read_enriched(spark: SparkSession, sink: str) -> DataFrame:
-    """The rows of finished batches."""
-    return _finished(spark, sink, sink).drop(BATCH)
+def read_enriched(spark: SparkSession, sink: str, with_batch: bool = False) -> DataFrame:
+    """The rows of finished batches, on request with the batch that wrote each."""
+    rows = _finished(spark, sink, sink)
+    return rows if with_batch else rows.drop(BATCH)
 
 
 def read_rejected(spark: SparkSession, folder: str) -> DataFrame:
