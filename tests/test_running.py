@@ -58,3 +58,13 @@ def test_reports_are_empty_while_no_line_meets_its_masters(spark, tmp_path):
     write_lines(tmp_path / "in", "1.csv", LINES)
     follow()
     assert running.report(spark, str(tmp_path / "out"), "city_gender").count() > 0
+
+
+def test_masters_do_not_come_to_the_driver(spark, tmp_path):
+    customers, products = masters(spark)
+    write_lines(tmp_path / "in", "0.csv", LINES)
+    stream = files.csv_stream(spark, str(tmp_path / "in"), files_per_batch=1)
+    queries = running.start(stream, customers, products, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    for query in queries:
+        query.awaitTermination()
+    assert "Broadcast" not in queries[0]._jsq.explainInternal(False)

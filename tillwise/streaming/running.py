@@ -1,8 +1,8 @@
 """Reports that follow the stream: states added up batch by batch, read at any time.
 
 The stream meets the masters once: a first query writes what the reports need of each enriched line, and the
-reports follow what it has written, so masters are broadcast or shuffled once a batch and not once for each
-report. Each report is a streaming aggregation over those lines, so Spark keeps its groups in the state
+reports follow what it has written, so masters are shuffled once a batch and not once for each report, and
+never sent to the driver. Each report is a streaming aggregation over those lines, so Spark keeps its groups in the state
 store and a batch only touches the groups it has lines for. A batch writes those groups, with their
 totals so far, to its own folder; a batch that runs again after a failure overwrites it, and the
 checkpoint gives it the same lines and the same state. The report of now is each group's latest
@@ -39,7 +39,8 @@ def start(transactions: DataFrame, customers: DataFrame, products: DataFrame, fo
     available and stop; the lines are then written before this returns."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     cents = to_cents(F.col("total_amount"))
-    lines = enrich(transactions, customers, products).select(*COLUMNS)
+    # a broadcast would take whole masters through the driver with every batch
+    lines = enrich(transactions, customers.hint("merge"), products.hint("merge")).select(*COLUMNS)
     joined = (lines.writeStream.format("parquet").option("path", f"{folder}/{LINES}")
               .option("checkpointLocation", f"{checkpoint}/{LINES}").trigger(**trigger).start())
     if not interval:
